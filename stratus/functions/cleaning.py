@@ -59,3 +59,17 @@ def null_or_nan(c: Column | str, data_type: DataType) -> Column:
 def round_half_up(c: Column | str, digits: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c, digits)
+
+
+def scaled_mean(c: Column | str, digits: int = config.TEMPERATURE_PRECISION) -> Column:
+    """Mean of values stored with ``digits`` decimals, computed exactly.
+
+    Gold measures are rounded to a fixed precision, so ``round(x * 10^d)`` is
+    an integer; sums of integers are exact in any order, which makes the mean
+    independent of how rows are split across tasks (the mean of the doubles
+    themselves can differ in the last bit between partitionings, and that
+    flips the 1-decimal rounding of values such as 11.05).
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    scale = float(10 ** digits)
+    return F.avg(F.round(c * F.lit(scale))) / F.lit(scale)

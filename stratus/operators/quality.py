@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType
 
 from .. import config
 from ..config import DEFAULT_RULES, ValidationRules
-from ..functions.cleaning import bad_date_shape, is_missing, numeric_or_null
+from ..functions.cleaning import bad_date_shape, is_missing, numeric_or_null, scaled_mean
 from ..functions.labels import consistency_label, is_inconsistent, precipitation_quality, temperature_quality
 
 
@@ -315,7 +315,7 @@ def range_report(gold: DataFrame, rules=config.REPORT_RANGE_RULES) -> DataFrame:
     for i, (_, c) in enumerate(_REPORT_METRICS):
         r = by_col[c]
         aggs += [
-            F.min(c).alias(f"mn_{i}"), F.max(c).alias(f"mx_{i}"), F.avg(c).alias(f"av_{i}"),
+            F.min(c).alias(f"mn_{i}"), F.max(c).alias(f"mx_{i}"), scaled_mean(c).alias(f"av_{i}"),
             _count_if((F.col(c) < r.low) | (F.col(c) > r.high)).alias(f"o_{i}"),
         ]
     m = gold.agg(*aggs)

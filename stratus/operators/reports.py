@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
+from ..functions.cleaning import scaled_mean
 
 T = "avg_temperature"
 P = "total_precipitation"
@@ -40,9 +41,9 @@ def monthly_summary(gold: DataFrame) -> DataFrame:
         gold.groupBy("year", "month")
         .agg(
             F.count(F.lit(1)).alias("days_count"),
-            _r1(F.avg(T)).alias("avg_temp_celsius"),
+            _r1(scaled_mean(T)).alias("avg_temp_celsius"),
             _r1(F.sum(P)).alias("total_precipitation_mm"),
-            _r1(F.avg(W)).alias("avg_wind_speed"),
+            _r1(scaled_mean(W)).alias("avg_wind_speed"),
         )
         .select("year", "month", labels.month_name("month").alias("month_name"),
                 "days_count", "avg_temp_celsius", "total_precipitation_mm", "avg_wind_speed")
@@ -67,7 +68,7 @@ def precipitation_analysis(gold: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("total_days"),
             _count_if(rainy).alias("rainy_days"),
             _r1(_percent(_count_if(rainy), F.count(F.lit(1)))).alias("rainy_day_percentage"),
-            _r1(F.avg(P)).alias("avg_daily_precipitation"),
+            _r1(scaled_mean(P)).alias("avg_daily_precipitation"),
             _r1(F.max(P)).alias("max_daily_precipitation"),
         )
         .orderBy("month")
@@ -79,14 +80,14 @@ def monthly_dashboard(gold: DataFrame) -> DataFrame:
         gold.groupBy("month")
         .agg(
             F.count(F.lit(1)).alias("total_days"),
-            _r1(F.avg(T)).alias("avg_temperature"),
+            _r1(scaled_mean(T)).alias("avg_temperature"),
             _r1(F.min(T)).alias("min_temperature"),
             _r1(F.max(T)).alias("max_temperature"),
             _r1(F.sum(P)).alias("total_precipitation"),
             _count_if(F.col(P) > 0).alias("rainy_days"),
             _count_if(F.col(T) < 0).alias("freezing_days"),
             _count_if(F.col(T) >= 25).alias("hot_days"),
-            _r1(F.avg(W)).alias("avg_wind_speed"),
+            _r1(scaled_mean(W)).alias("avg_wind_speed"),
         )
         .select("month", labels.month_name("month").alias("month_name"), "total_days",
                 "avg_temperature", "min_temperature", "max_temperature",
@@ -105,10 +106,10 @@ def station_performance(gold: DataFrame) -> DataFrame:
         gold.groupBy("station")
         .agg(
             F.count(F.lit(1)).alias("data_points"),
-            _r1(F.avg(T)).alias("avg_temp"),
+            _r1(scaled_mean(T)).alias("avg_temp"),
             _r1(F.stddev_samp(T)).alias("temp_variability"),
             _r1(F.sum(P)).alias("total_precip"),
-            _r1(F.avg(W)).alias("avg_wind"),
+            _r1(scaled_mean(W)).alias("avg_wind"),
         )
         .withColumn("climate_category", labels.climate_category("avg_temp"))
         .orderBy(F.col("avg_temp").desc(), "station")
@@ -120,9 +121,9 @@ def seasonal_trends(gold: DataFrame) -> DataFrame:
         gold.groupBy("month")
         .agg(
             F.count(F.lit(1)).alias("days"),
-            _r1(F.avg(T)).alias("avg_temp"),
+            _r1(scaled_mean(T)).alias("avg_temp"),
             _r1(F.sum(P)).alias("total_precip"),
-            _r1(F.avg(W)).alias("avg_wind"),
+            _r1(scaled_mean(W)).alias("avg_wind"),
             _r1(F.max(T) - F.min(T)).alias("temp_range"),
         )
         .select("month", labels.season("month").alias("season"), "days", "avg_temp",
@@ -140,8 +141,8 @@ def pattern_distribution(gold: DataFrame) -> DataFrame:
     patterned = gold.select(T, P, labels.weather_pattern(T, P, "total_snow").alias("weather_pattern"))
     counted = patterned.groupBy("weather_pattern").agg(
         F.count(F.lit(1)).alias("occurrences"),
-        _r1(F.avg(T)).alias("avg_temp_for_pattern"),
-        _r1(F.avg(P)).alias("avg_precip_for_pattern"),
+        _r1(scaled_mean(T)).alias("avg_temp_for_pattern"),
+        _r1(scaled_mean(P)).alias("avg_precip_for_pattern"),
     )
     everything = Window.partitionBy()
     return counted.select(
@@ -156,7 +157,7 @@ def pattern_distribution(gold: DataFrame) -> DataFrame:
 def station_month_stats(gold: DataFrame) -> DataFrame:
     """Per (station, month): unrounded mean temperature and total precipitation."""
     return gold.groupBy("station", "month").agg(
-        F.avg(T).alias("monthly_avg_temp"),
+        scaled_mean(T).alias("monthly_avg_temp"),
         F.sum(P).alias("monthly_total_precip"),
     )
 

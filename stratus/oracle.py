@@ -223,8 +223,8 @@ FROM silver GROUP BY date, station""")
     q["gold_view_count"] = g("SELECT COUNT(*) AS count FROM gold")
     q["distinct_months"] = g("SELECT DISTINCT year, month FROM gold")
     q["monthly_summary"] = g(f"""SELECT year, month, {MONTH_NAME} AS month_name, COUNT(*) AS days_count,
-  ROUND(AVG(avg_temperature), 1) AS avg_temp_celsius, ROUND(SUM(total_precipitation), 1) AS total_precipitation_mm,
-  ROUND(AVG(avg_wind_speed), 1) AS avg_wind_speed
+  ROUND((AVG(ROUND(avg_temperature * 10.0)) / 10.0), 1) AS avg_temp_celsius, ROUND(SUM(total_precipitation), 1) AS total_precipitation_mm,
+  ROUND((AVG(ROUND(avg_wind_speed * 10.0)) / 10.0), 1) AS avg_wind_speed
 FROM gold GROUP BY year, month""")
     q["temperature_extremes"] = g(f"""SELECT date, station, avg_temperature, {TEMP_CATEGORY} AS temperature_category
 FROM gold WHERE avg_temperature >= 25 OR avg_temperature < 0""")
@@ -234,7 +234,7 @@ FROM silver""")
     rainy = _count_if("total_precipitation > 0")
     q["precipitation_analysis"] = g(f"""SELECT month, COUNT(*) AS total_days, {rainy} AS rainy_days,
   ROUND({_pct(rainy, 'COUNT(*)')}, 1) AS rainy_day_percentage,
-  ROUND(AVG(total_precipitation), 1) AS avg_daily_precipitation,
+  ROUND((AVG(ROUND(total_precipitation * 10.0)) / 10.0), 1) AS avg_daily_precipitation,
   ROUND(MAX(total_precipitation), 1) AS max_daily_precipitation
 FROM gold GROUP BY month""")
     q["year_month_summary"] = s("""SELECT substr(CAST(date AS VARCHAR), 1, 7) AS year_month,
@@ -246,7 +246,7 @@ FROM silver GROUP BY date, station""")
   LAG(avg_temperature, 1) OVER ({W_STATION}) AS prev_day_temp,
   LEAD(avg_temperature, 1) OVER ({W_STATION}) AS next_day_temp,
   avg_temperature - LAG(avg_temperature, 1) OVER ({W_STATION}) AS temp_change,
-  AVG(avg_temperature) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3day_avg,
+  AVG(ROUND(avg_temperature * 10.0)) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) / 10.0 AS rolling_3day_avg,
   SUM(total_precipitation) OVER ({W_STATION} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7day_precip"""
     q["station_timeseries"] = g(
         f"SELECT {ts_cols} FROM gold WHERE station = '{timeseries_station}' ORDER BY date LIMIT 10")
@@ -255,42 +255,42 @@ FROM silver GROUP BY date, station""")
   avg_temperature - LAG(avg_temperature, 1) OVER ({W_STATION}) AS temp_change
 FROM gold""")
     q["rolling_metrics"] = g(f"""SELECT date, station, avg_temperature, total_precipitation,
-  AVG(avg_temperature) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3day_avg,
+  AVG(ROUND(avg_temperature * 10.0)) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) / 10.0 AS rolling_3day_avg,
   SUM(total_precipitation) OVER ({W_STATION} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7day_precip
 FROM gold""")
     q["station_month_rank"] = g("""SELECT station, month, ROUND(monthly_avg_temp, 1) AS avg_temp,
   ROUND(monthly_total_precip, 1) AS total_precip,
   CAST(RANK() OVER (PARTITION BY month ORDER BY monthly_avg_temp DESC NULLS LAST) AS INTEGER) AS temp_rank,
   CAST(RANK() OVER (PARTITION BY month ORDER BY monthly_total_precip DESC NULLS LAST) AS INTEGER) AS precip_rank
-FROM (SELECT station, month, AVG(avg_temperature) AS monthly_avg_temp,
+FROM (SELECT station, month, (AVG(ROUND(avg_temperature * 10.0)) / 10.0) AS monthly_avg_temp,
              SUM(total_precipitation) AS monthly_total_precip
       FROM gold GROUP BY station, month) s""")
     q["pattern_distribution"] = g(f"""SELECT weather_pattern, occurrences,
   ROUND({_pct('occurrences', 'SUM(occurrences) OVER ()')}, 1) AS percentage,
   avg_temp_for_pattern, avg_precip_for_pattern
 FROM (SELECT weather_pattern, COUNT(*) AS occurrences,
-             ROUND(AVG(avg_temperature), 1) AS avg_temp_for_pattern,
-             ROUND(AVG(total_precipitation), 1) AS avg_precip_for_pattern
+             ROUND((AVG(ROUND(avg_temperature * 10.0)) / 10.0), 1) AS avg_temp_for_pattern,
+             ROUND((AVG(ROUND(total_precipitation * 10.0)) / 10.0), 1) AS avg_precip_for_pattern
       FROM (SELECT avg_temperature, total_precipitation, {PATTERN} AS weather_pattern FROM gold) p
       GROUP BY weather_pattern) c""")
     q["monthly_dashboard"] = g(f"""SELECT month, {MONTH_NAME} AS month_name, COUNT(*) AS total_days,
-  ROUND(AVG(avg_temperature), 1) AS avg_temperature, ROUND(MIN(avg_temperature), 1) AS min_temperature,
+  ROUND((AVG(ROUND(avg_temperature * 10.0)) / 10.0), 1) AS avg_temperature, ROUND(MIN(avg_temperature), 1) AS min_temperature,
   ROUND(MAX(avg_temperature), 1) AS max_temperature, ROUND(SUM(total_precipitation), 1) AS total_precipitation,
   {rainy} AS rainy_days, {_count_if('avg_temperature < 0')} AS freezing_days,
-  {_count_if('avg_temperature >= 25')} AS hot_days, ROUND(AVG(avg_wind_speed), 1) AS avg_wind_speed
+  {_count_if('avg_temperature >= 25')} AS hot_days, ROUND((AVG(ROUND(avg_wind_speed * 10.0)) / 10.0), 1) AS avg_wind_speed
 FROM gold GROUP BY month""")
     q["station_performance"] = g("""SELECT station, data_points, avg_temp, temp_variability, total_precip, avg_wind,
   CASE WHEN avg_temp > 15 THEN 'Warm Climate' WHEN avg_temp > 5 THEN 'Moderate Climate' ELSE 'Cold Climate' END
     AS climate_category
-FROM (SELECT station, COUNT(*) AS data_points, ROUND(AVG(avg_temperature), 1) AS avg_temp,
+FROM (SELECT station, COUNT(*) AS data_points, ROUND((AVG(ROUND(avg_temperature * 10.0)) / 10.0), 1) AS avg_temp,
              ROUND(STDDEV_SAMP(avg_temperature), 1) AS temp_variability,
-             ROUND(SUM(total_precipitation), 1) AS total_precip, ROUND(AVG(avg_wind_speed), 1) AS avg_wind
+             ROUND(SUM(total_precipitation), 1) AS total_precip, ROUND((AVG(ROUND(avg_wind_speed * 10.0)) / 10.0), 1) AS avg_wind
       FROM gold GROUP BY station) m""")
     q["seasonal_trends"] = g("""SELECT month,
   CASE WHEN month IN (12, 1, 2) THEN 'Winter' WHEN month IN (3, 4, 5) THEN 'Spring'
        WHEN month IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
-  COUNT(*) AS days, ROUND(AVG(avg_temperature), 1) AS avg_temp, ROUND(SUM(total_precipitation), 1) AS total_precip,
-  ROUND(AVG(avg_wind_speed), 1) AS avg_wind, ROUND(MAX(avg_temperature) - MIN(avg_temperature), 1) AS temp_range
+  COUNT(*) AS days, ROUND((AVG(ROUND(avg_temperature * 10.0)) / 10.0), 1) AS avg_temp, ROUND(SUM(total_precipitation), 1) AS total_precip,
+  ROUND((AVG(ROUND(avg_wind_speed * 10.0)) / 10.0), 1) AS avg_wind, ROUND(MAX(avg_temperature) - MIN(avg_temperature), 1) AS temp_range
 FROM gold GROUP BY month""")
     q["latest_days"] = g("""SELECT date, station, avg_temperature, total_precipitation FROM gold
 ORDER BY date DESC, station ASC LIMIT 5""")
@@ -301,7 +301,7 @@ ORDER BY date DESC, station ASC LIMIT 5""")
                          ("Wind Speed", "avg_wind_speed"))))
     q["range_report"] = g("\nUNION ALL\n".join(
         f"SELECT '{label}' AS metric, ROUND(MIN({c}), 1) AS min_value, ROUND(MAX({c}), 1) AS max_value, "
-        f"ROUND(AVG({c}), 1) AS avg_value, {_count_if(f'{c} < {lo} OR {c} > {hi}')} AS outliers FROM gold"
+        f"ROUND((AVG(ROUND({c} * 10.0)) / 10.0), 1) AS avg_value, {_count_if(f'{c} < {lo} OR {c} > {hi}')} AS outliers FROM gold"
         for label, c, lo, hi in (("Temperature", "avg_temperature", -50, 60),
                                  ("Precipitation", "total_precipitation", 0, 200),
                                  ("Wind Speed", "avg_wind_speed", 0, 200))))
