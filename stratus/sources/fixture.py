@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .parallelism import with_min_partitions
+
 LINEITEM_COLUMNS = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
@@ -31,7 +33,9 @@ BENCH_STATIONS = 100
 
 
 def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    """The adapter's input columns, spread over at least the default parallelism."""
+    scan = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINEITEM_COLUMNS)
+    return with_min_partitions(scan, keys=("l_orderkey", "l_linenumber"))
 
 
 def bronze_from_lineitem(lineitem: DataFrame, stations: int = SMOKE_STATIONS) -> DataFrame:

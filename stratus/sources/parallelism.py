@@ -1,0 +1,29 @@
+"""Scan parallelism floor.
+
+A file that holds a single row group (or one small CSV file) is read by one
+task, and every per-row expression above the scan then runs on one core. When
+a scan yields fewer partitions than the session's default parallelism, rows
+are spread round-robin over that many partitions right after the scan, where
+the rows are narrowest. On a cluster reading many files the scan already has
+more partitions than cores and this is a no-op (no extra shuffle).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def with_min_partitions(df: DataFrame, min_partitions: int | None = None,
+                        keys: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Spread ``df`` over at least ``min_partitions`` (default: the default parallelism).
+
+    With ``keys`` (a unique row key of the source) rows are hash-partitioned:
+    deterministic on task retry and with no sort. Without keys the spread is
+    round-robin, which Spark makes retry-safe by sorting rows first.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    if keys:
+        return df.repartition(target, *keys)
+    return df.repartition(target)
