@@ -21,8 +21,14 @@ def with_min_partitions(df: DataFrame, min_partitions: int | None = None,
     deterministic on task retry and with no sort. Without keys the spread is
     round-robin, which Spark makes retry-safe by sorting rows first.
     """
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        current = df.rdd.getNumPartitions()  # plans the scan, runs no job
+    except Exception:  # noqa: BLE001 - e.g. a session without RDD access
+        return df
+    if current >= target:
         return df
     if keys:
         return df.repartition(target, *keys)
