@@ -66,12 +66,15 @@ class StoredLayers(Layers):
         except OSError:
             signature = None
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, layer, signature)
-        path = self._paths.get(key)
-        if path is None or not _exists(spark, path):
+        cached = self._paths.get(key)
+        if cached is None or not _exists(spark, cached[0]):
             path = scratch_path(spark, f"{layer}-{self.stations}")
             write_partitioned_parquet(build(spark, sf_dir), path)
-            self._paths[key] = path
-        return read_parquet(spark, path)
+            # Keep the read-back DataFrame: its file index is listed once and
+            # reused by every report (the table is immutable once written).
+            cached = (path, read_parquet(spark, path))
+            self._paths[key] = cached
+        return cached[1]
 
     def silver(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self._stored(spark, sf_dir, "silver", super().silver)

@@ -66,3 +66,33 @@ def test_column_pruning_on_lineitem(spark):
     plan = plan_of(Layers(10).gold(spark, SF))
     read_schema = re.search(r"ReadSchema: struct<(.*)>", plan).group(1)
     assert "l_linestatus" not in read_schema and "l_orderkey" in read_schema
+
+
+def test_no_joins_or_broadcasts(spark):
+    for name, fn in build_queries(stored=False).items():
+        if name in WRITE_QUERIES:
+            continue
+        plan = plan_of(fn(spark, SF))
+        for bad in ("BroadcastExchange", "CartesianProduct", "BroadcastNestedLoopJoin", "SortMergeJoin"):
+            assert bad not in plan, (name, bad)
+
+
+def test_gold_aggregates_partially_before_shuffle(spark):
+    plan = plan_of(Layers(10).gold(spark, SF))
+    partial = plan.find("partial_avg")
+    exchange = plan.find("Exchange")
+    assert 0 <= partial and 0 <= exchange
+    # formatted plans list nodes bottom-up in the details section; the partial
+    # aggregate node must sit below the (date, station) exchange in the tree
+    tree = plan.split("\n\n")[0]
+    assert tree.index("Exchange") < tree.rindex("HashAggregate")
+    assert "hashpartitioning(date" in plan
+
+
+def test_single_partition_exchange_only_on_small_aggregates(spark):
+    from stratus.operators import reports
+
+    plan = plan_of(reports.pattern_distribution(Layers(10).gold(spark, SF)))
+    tree = plan.split("\n\n")[0]
+    # the unpartitioned window sits above the pattern aggregate (at most 6 rows)
+    assert tree.index("Window") < tree.index("HashAggregate")
