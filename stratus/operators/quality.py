@@ -345,12 +345,19 @@ def consistency_report(gold: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Row-level quality labels -- Q10
 # ---------------------------------------------------------------------------
-def row_quality_labels(silver: DataFrame) -> DataFrame:
-    return silver.select(
+def row_quality_labels(silver: DataFrame, ordered: bool = False) -> DataFrame:
+    """Per silver row: temperature and precipitation quality labels.
+
+    A projection only (no shuffle). Ordering by date is opt-in: silver rows
+    have no unique key, so a global sort could send one hot (date, station)
+    to a single range partition.
+    """
+    out = silver.select(
         "date", "station", "tmax_celsius", "tmin_celsius", "prcp",
         temperature_quality("tmax_celsius", "tmin_celsius").alias("temp_quality"),
         precipitation_quality("prcp").alias("precip_quality"),
-    ).orderBy("date", "station")
+    )
+    return out.orderBy("date", "station") if ordered else out
 
 
 # ---------------------------------------------------------------------------

@@ -217,12 +217,18 @@ def daily_precipitation(silver: DataFrame) -> DataFrame:
     )
 
 
-def temperature_bands(silver: DataFrame) -> DataFrame:
-    """Per row: Hot / Moderate / Cold on the daily maximum (strict bounds)."""
-    return silver.select(
+def temperature_bands(silver: DataFrame, ordered: bool = False) -> DataFrame:
+    """Per row: Hot / Moderate / Cold on the daily maximum (strict bounds).
+
+    Silver rows have no unique key, so a global sort could put every row of
+    one hot (date, station) into one range partition; ordering (hottest
+    first) is therefore opt-in for this row-level output.
+    """
+    out = silver.select(
         "date", "station", "tmax_celsius", "tmin_celsius",
         labels.temperature_band3("tmax_celsius").alias("temp_category"),
-    ).orderBy(F.col("tmax_celsius").desc_nulls_last(), "station", "date")
+    )
+    return out.orderBy(F.col("tmax_celsius").desc_nulls_last(), "station", "date") if ordered else out
 
 
 def dataset_span(gold: DataFrame, approximate: bool = False) -> DataFrame:
