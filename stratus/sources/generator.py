@@ -1,9 +1,14 @@
 """Distributed synthetic observation generator.
 
 Rows are produced on the executors: a (station, start, end) skeleton is
-exploded into one row per day with ``sequence``; values come from seeded
-``rand`` columns. Nothing is built in a driver loop, so a long range or many
-stations scale with the cluster.
+exploded into one row per day with ``sequence``. Nothing is built in a
+driver loop, so a long range or many stations scale with the cluster.
+
+Random values are counter-based: each draw is ``xxhash64(station, day, seed,
+draw)`` mapped to [0, 1). A station-day therefore gets the same values
+whatever the partitioning, and a task recomputed after an executor loss
+reproduces exactly the rows it produced before (a positional ``rand`` after a
+shuffle would not).
 """
 
 from __future__ import annotations
@@ -22,16 +27,24 @@ def station_code(station_id: str) -> str:
     return station_id.rsplit(":", 1)[-1]
 
 
-def _uniform_int(low: int | Column, high: int | Column, seed: int) -> Column:
-    """Uniform integer in the inclusive range [low, high]."""
+_MANTISSA = (1 << 53) - 1
+
+
+def _draw(seed: int, n: int) -> Column:
+    """Uniform double in [0, 1) keyed by (station, day, seed, draw number)."""
+    h = F.xxhash64(F.col("station"), F.col("d"), F.lit(seed), F.lit(n))
+    return h.bitwiseAND(F.lit(_MANTISSA)).cast("double") / F.lit(float(1 << 53))
+
+
+def _uniform_int(low: int | Column, high: int | Column, u: Column) -> Column:
+    """Uniform integer in the inclusive range [low, high] from a [0, 1) draw."""
     low = F.lit(low) if isinstance(low, int) else low
     high = F.lit(high) if isinstance(high, int) else high
-    return (low + F.floor(F.rand(seed) * (high - low + 1))).cast("int")
+    return (low + F.floor(u * (high - low + 1))).cast("int")
 
 
 def generate_from_skeleton(skeleton: DataFrame, seed: int = 42) -> DataFrame:
     """Bronze rows for every day of each ``(station, start_date, end_date)`` row."""
-    s = seed * 16
     days = skeleton.select(
         F.col("station"),
         F.explode(F.sequence(F.col("start_date"), F.col("end_date"),
@@ -40,17 +53,17 @@ def generate_from_skeleton(skeleton: DataFrame, seed: int = 42) -> DataFrame:
     tmax_lo, tmax_hi = config.GEN_TMAX_RANGE
     values = days.select(
         "station", "d",
-        _uniform_int(tmax_lo, tmax_hi, s + 1).alias("tmax"),
-        F.rand(s + 2).alias("u_tmin"),
-        F.when(F.rand(s + 3) < config.GEN_PRCP_PROBABILITY,
-               _uniform_int(*config.GEN_PRCP_RANGE, s + 4)).otherwise(0).alias("prcp"),
-        F.when(F.rand(s + 5) < config.GEN_SNOW_PROBABILITY,
-               _uniform_int(*config.GEN_SNOW_RANGE, s + 6)).otherwise(0).alias("snow"),
-        F.rand(s + 7).alias("u_snwd"),
-        _uniform_int(*config.GEN_AWND_RANGE, s + 8).alias("awnd"),
-        F.rand(s + 9).alias("b_tmax"),
-        F.rand(s + 10).alias("b_tmin"),
-        F.rand(s + 11).alias("b_prcp"),
+        _uniform_int(tmax_lo, tmax_hi, _draw(seed, 1)).alias("tmax"),
+        _draw(seed, 2).alias("u_tmin"),
+        F.when(_draw(seed, 3) < config.GEN_PRCP_PROBABILITY,
+               _uniform_int(*config.GEN_PRCP_RANGE, _draw(seed, 4))).otherwise(0).alias("prcp"),
+        F.when(_draw(seed, 5) < config.GEN_SNOW_PROBABILITY,
+               _uniform_int(*config.GEN_SNOW_RANGE, _draw(seed, 6))).otherwise(0).alias("snow"),
+        _draw(seed, 7).alias("u_snwd"),
+        _uniform_int(*config.GEN_AWND_RANGE, _draw(seed, 8)).alias("awnd"),
+        _draw(seed, 9).alias("b_tmax"),
+        _draw(seed, 10).alias("b_tmin"),
+        _draw(seed, 11).alias("b_prcp"),
     )
     tmin_hi = F.col("tmax") - F.lit(config.GEN_TMIN_GAP)
     tmin = (F.lit(config.GEN_TMIN_LOW)

@@ -174,3 +174,18 @@ def test_report_files(spark, tmp_dir, bronze_rows):
     with open(path) as f:
         body = f.read()
     assert "Overall Valid**: True" in body and "No issues found" in body
+
+
+def test_generator_values_do_not_depend_on_partitioning(spark):
+    from stratus.sources import generate_from_skeleton
+
+    sk = spark.createDataFrame([("A", dt.date(2024, 1, 1), dt.date(2024, 3, 31)),
+                                ("B", dt.date(2024, 2, 1), dt.date(2024, 2, 10))],
+                               "station string, start_date date, end_date date")
+    one = generate_from_skeleton(sk.coalesce(1), seed=5).orderBy("STATION", "DATE").collect()
+    many = generate_from_skeleton(sk.repartition(7), seed=5).orderBy("STATION", "DATE").collect()
+    assert one == many and len(one) == 91 + 10
+    other_seed = generate_from_skeleton(sk, seed=6).orderBy("STATION", "DATE").collect()
+    assert other_seed != one
+    blanks = sum(1 for r in one if r.TMAX == "")
+    assert 0 < blanks < 20  # about 5 % of 101 rows
