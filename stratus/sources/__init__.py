@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import config
 from .bronze_csv import (
     default_date_range,
+    landing_glob,
     landing_name,
     load_bronze_csv,
     validate_iso_date,
@@ -26,7 +27,7 @@ def rows_with_schema(spark: SparkSession, rows, schema=config.GOLD_SCHEMA) -> Da
 
 
 __all__ = [
-    "default_date_range", "landing_name", "load_bronze_csv", "validate_iso_date",
+    "default_date_range", "landing_glob", "landing_name", "load_bronze_csv", "validate_iso_date",
     "write_landing_csv", "bronze_from_lineitem", "bronze_from_tables", "read_lineitem",
     "generate_from_skeleton", "generate_observations", "skeleton_from_silver",
     "station_code", "read_parquet", "write_partitioned_parquet", "rows_with_schema",

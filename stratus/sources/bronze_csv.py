@@ -43,8 +43,17 @@ def default_date_range(today: _dt.date | None = None,
 
 
 def landing_name(station_id: str, start: str, end: str) -> str:
-    """``weather_data_<station with ':' as '_'>_<start>_<end>``."""
-    return f"{config.LANDING_FILE_PREFIX}_{station_id.replace(':', '_')}_{start}_{end}"
+    """``weather_data_<station with ':' as '_'>_<start>_<end>.csv``.
+
+    Spark writes a directory of part files under this name; the landing glob
+    (:func:`landing_glob`) matches it, and a matched directory is read whole.
+    """
+    return f"{config.LANDING_FILE_PREFIX}_{station_id.replace(':', '_')}_{start}_{end}.csv"
+
+
+def landing_glob(landing_dir: str) -> str:
+    """Input pattern of the transform: every landing file or directory."""
+    return f"{landing_dir.rstrip('/')}/{config.LANDING_FILE_PREFIX}_*.csv"
 
 
 def write_landing_csv(bronze: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -106,7 +106,7 @@ def test_generator_shape_bounds_and_seed(spark):
 
 def test_landing_name():
     assert landing_name("GHCND:USW00014735", "2024-06-01", "2024-06-03") == \
-        "weather_data_GHCND_USW00014735_2024-06-01_2024-06-03"
+        "weather_data_GHCND_USW00014735_2024-06-01_2024-06-03.csv"
 
 
 def test_full_pipeline(spark, tmp_dir):
@@ -114,7 +114,8 @@ def test_full_pipeline(spark, tmp_dir):
     path = pipeline.ingest(spark, landing, start_date="2024-01-01", end_date="2024-02-28", seed=1)
     assert os.path.basename(path).startswith("weather_data_GHCND_USW00014735_2024-01-01_2024-02-28")
     out = os.path.join(tmp_dir, "processed")
-    res = pipeline.transform(spark, path, out, reports_path=os.path.join(tmp_dir, "reports"))
+    from stratus.sources import landing_glob
+    res = pipeline.transform(spark, landing_glob(landing), out, reports_path=os.path.join(tmp_dir, "reports"))
     gold = read_parquet(spark, out)
     assert gold.count() == 59 == res.view_count
     assert "avg_temperature" in gold.columns and isinstance(gold.schema["date"].dataType, DateType)
