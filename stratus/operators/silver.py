@@ -6,12 +6,14 @@ in tenths of a degree) and the Celsius columns ``tmax_celsius``,
 ``tmin_celsius`` and ``tavg_celsius``.
 
 Cleaning never raises on bad text: blanks and malformed numbers become NULL
-(``try_cast``), malformed dates become NULL (``try_to_date``).
+(``try_cast``), malformed dates become NULL (shape check + ``try_cast``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -28,6 +30,44 @@ def _field(df: DataFrame, name: str):
     return F.lit(None).cast("string")
 
 
+SILVER_ORDER = ("date", "station", "year", "month", "day", "tmax", "tmin", "prcp", "snow", "snwd",
+                "awnd", "tmax_celsius", "tmin_celsius", "tavg_celsius")
+
+
+def typed_fields(bronze: DataFrame) -> dict[str, Column]:
+    """Typed key and measure expressions of silver, before any row is dropped."""
+    fields = {
+        "date": parse_date(_field(bronze, "DATE")),
+        "station": _field(bronze, "STATION"),
+    }
+    for c in config.NUMERIC_COLUMNS:
+        fields[c.lower()] = numeric_or_null(_field(bronze, c))
+    return fields
+
+
+def derived_fields(col: Callable[[str], Column],
+                   divisor: float = config.TEMPERATURE_DIVISOR) -> dict[str, Column]:
+    """Calendar parts and Celsius columns from the typed fields (``col(name)``)."""
+    return {
+        "year": F.year(col("date")),
+        "month": F.month(col("date")),
+        "day": F.dayofmonth(col("date")),
+        "tmax_celsius": tenths_to_celsius(col("tmax"), divisor),
+        "tmin_celsius": tenths_to_celsius(col("tmin"), divisor),
+        "tavg_celsius": mean_of_tenths(col("tmax"), col("tmin"), divisor),
+    }
+
+
+def keep_condition(col: Callable[[str], Column], on_missing: str = KEEP_NULL_TEMPS) -> Column:
+    """Which typed rows become silver rows."""
+    if on_missing not in (KEEP_NULL_TEMPS, DROP_MISSING_TEMPS):
+        raise ValueError(f"unknown on_missing mode: {on_missing!r}")
+    keep = col("date").isNotNull() & col("station").isNotNull()
+    if on_missing == DROP_MISSING_TEMPS:
+        keep = keep & col("tmax").isNotNull() & col("tmin").isNotNull()
+    return keep
+
+
 def clean_observations(bronze: DataFrame, *, on_missing: str = KEEP_NULL_TEMPS,
                        divisor: float = config.TEMPERATURE_DIVISOR) -> DataFrame:
     """Typed silver rows from bronze rows.
@@ -38,25 +78,9 @@ def clean_observations(bronze: DataFrame, *, on_missing: str = KEEP_NULL_TEMPS,
       * ``drop_missing_temps``: additionally drop rows whose TMAX or TMIN is
         missing.
     """
-    if on_missing not in (KEEP_NULL_TEMPS, DROP_MISSING_TEMPS):
-        raise ValueError(f"unknown on_missing mode: {on_missing!r}")
-    date = parse_date(_field(bronze, "DATE"))
-    typed = bronze.select(
-        date.alias("date"),
-        _field(bronze, "STATION").alias("station"),
-        *[numeric_or_null(_field(bronze, c)).alias(c.lower()) for c in config.NUMERIC_COLUMNS],
-    )
-    keep = F.col("date").isNotNull() & F.col("station").isNotNull()
-    if on_missing == DROP_MISSING_TEMPS:
-        keep = keep & F.col("tmax").isNotNull() & F.col("tmin").isNotNull()
+    keep = keep_condition(F.col, on_missing)
+    typed = bronze.select(*[e.alias(k) for k, e in typed_fields(bronze).items()])
+    derived = derived_fields(F.col, divisor)
     return typed.where(keep).select(
-        "date",
-        "station",
-        F.year("date").alias("year"),
-        F.month("date").alias("month"),
-        F.dayofmonth("date").alias("day"),
-        "tmax", "tmin", "prcp", "snow", "snwd", "awnd",
-        tenths_to_celsius("tmax", divisor).alias("tmax_celsius"),
-        tenths_to_celsius("tmin", divisor).alias("tmin_celsius"),
-        mean_of_tenths("tmax", "tmin", divisor).alias("tavg_celsius"),
+        *[derived[c].alias(c) if c in derived else F.col(c) for c in SILVER_ORDER]
     )

@@ -9,7 +9,8 @@ for a hot partition).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config
 
@@ -17,19 +18,24 @@ from .. import config
 def write_partitioned_parquet(df: DataFrame, path: str,
                               partition_cols: tuple[str, ...] | list[str] | None = None,
                               *, dynamic_overwrite: bool = False,
-                              rebalance: bool = True) -> str:
+                              rebalance: bool = True,
+                              count_rows: Observation | None = None) -> str:
     """Overwrite ``path`` with ``df`` partitioned by ``partition_cols``.
 
     If any partition column is absent the data is written unpartitioned.
     ``dynamic_overwrite`` replaces only the partitions present in ``df``
     (incremental re-runs); otherwise the whole directory is replaced, so two
-    runs over the same input leave one copy.
+    runs over the same input leave one copy. ``count_rows`` observes the
+    number of written rows in the write stage itself, which is a result stage,
+    so the count stays exact when tasks are retried.
     """
     cols = list(config.PARTITION_COLUMNS if partition_cols is None else partition_cols)
     partitioned = bool(cols) and all(c in df.columns for c in cols)
     out = df
     if partitioned and rebalance:
         out = df.hint("rebalance", *cols)
+    if count_rows is not None:
+        out = out.observe(count_rows, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite").format("parquet")
     if dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -190,3 +190,26 @@ def test_generator_values_do_not_depend_on_partitioning(spark):
     assert other_seed != one
     blanks = sum(1 for r in one if r.TMAX == "")
     assert 0 < blanks < 20  # about 5 % of 101 rows
+
+
+def test_exact_and_observed_metrics_agree(spark, tmp_dir):
+    from stratus.plans.registry import Layers
+
+    bronze = Layers(10).bronze(spark, "/root/testdata/sf0.001")
+    exact = pipeline.transform(spark, bronze, os.path.join(tmp_dir, "e"))
+    observed = pipeline.transform(spark, bronze, os.path.join(tmp_dir, "o"), metrics="observed")
+    assert exact.validation == observed.validation
+    assert exact.view_count == observed.view_count == 5218
+    assert _sorted(exact.stage_stats) == _sorted(observed.stage_stats)
+    assert _sorted(exact.profile) == _sorted(observed.profile)
+    # and they equal the lazily computed reports
+    from stratus.operators import profile, quality
+
+    assert quality.validate_observations(bronze) == exact.validation
+    lazy = profile.stage_statistics(bronze, "bronze").unionByName(
+        profile.stage_statistics(clean_observations(bronze), "silver"))
+    assert _sorted(lazy) == _sorted(exact.stage_stats)
+
+
+def _sorted(df):
+    return sorted(tuple(r) for r in df.collect())
