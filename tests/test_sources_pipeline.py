@@ -213,3 +213,32 @@ def test_exact_and_observed_metrics_agree(spark, tmp_dir):
 
 def _sorted(df):
     return sorted(tuple(r) for r in df.collect())
+
+
+def test_landing_file_format(spark, tmp_dir):
+    path = pipeline.ingest(spark, os.path.join(tmp_dir, "landing"), station_id="GHCND:USW00014735",
+                           start_date="2024-01-01", end_date="2024-01-31", seed=9)
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-") and p.endswith(".csv"))
+    lines = []
+    for p in parts:
+        with open(os.path.join(path, p)) as f:
+            body = f.read().splitlines()
+        if body:
+            assert body[0] == config.CSV_HEADER
+            lines += body[1:]
+    assert len(lines) == 31
+    dates = sorted(line.split(",")[0] for line in lines)
+    assert dates[0] == "2024-01-01" and dates[-1] == "2024-01-31"
+    assert [dt.date.fromisoformat(d).toordinal() for d in dates] == list(
+        range(dt.date(2024, 1, 1).toordinal(), dt.date(2024, 1, 31).toordinal() + 1))
+    for line in lines:
+        fields = line.split(",")
+        assert len(fields) == 8 and fields[1] == "USW00014735"
+        assert all(v == "" or v.lstrip("-").isdigit() for v in fields[2:])
+
+
+def test_default_date_range_is_last_30_days():
+    from stratus.sources import default_date_range
+
+    start, end = default_date_range(dt.date(2024, 3, 31))
+    assert (start, end) == ("2024-03-01", "2024-03-31")
