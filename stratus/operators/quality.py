@@ -43,7 +43,8 @@ def schema_issues(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> list
     issues = []
     missing = [c for c in rules.required_columns if c not in df.columns]
     if missing:
-        issues.append(f"Missing required columns: {set(missing)}")
+        listed = ", ".join(repr(c) for c in sorted(missing))  # stable order, set notation
+        issues.append(f"Missing required columns: {{{listed}}}")
     for name in rules.numeric_columns:
         if name in df.columns:
             dtype = df.schema[name].dataType
