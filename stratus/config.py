@@ -201,6 +201,20 @@ WEATHER_PATTERNS = (
 )
 WEATHER_PATTERN_DEFAULT = "Normal"
 
+# ---------------------------------------------------------------------------
+# Issue texts and report titles (printf-style where formatted).
+# ---------------------------------------------------------------------------
+ISSUE_MISSING_COLUMNS = "Missing required columns: {columns}"
+ISSUE_MISSING_COLUMN = "Missing required column: {column}"
+ISSUE_NOT_STRING = "Column {column} should be StringType, got {dtype}"
+ISSUE_BELOW_MIN = "%s minimum value %s below threshold %s"
+ISSUE_ABOVE_MAX = "%s maximum value %s above threshold %s"
+ISSUE_INVALID_DATES = "High percentage of invalid dates: %.2f%%"
+ISSUE_NO_DATE_COLUMN = "DATE column not found"
+PROFILE_REPORT_TITLE = "# Weather Data Profile Report"
+PARQUET_PROFILE_TITLE = "# Data Profile Report"
+RUN_REPORT_TITLE = "# Performance Report"
+
 # ---------------------------------------------------------------------------
 # Synthetic observation generator (tenths / raw units).
 # ---------------------------------------------------------------------------

@@ -2,8 +2,10 @@
 
 Each profile is one global aggregate over all columns at once (map-side
 partial aggregation, one scan), then unpivoted to one row per column with
-``inline``. Stage statistics inside a pipeline ride on the pipeline's own
-write through ``Observation``, so they cost no extra job.
+``inline``. Inside the pipeline, stage statistics come from the fused run
+aggregate (:mod:`stratus.operators.run_metrics`), or, in the optional
+single-pass mode, from ``Observation`` metrics on the write job
+(:func:`observe_stage`).
 """
 
 from __future__ import annotations
@@ -76,7 +78,7 @@ def profile_rows(df: DataFrame) -> list[dict]:
 
 def render_profile_markdown(rows: list[dict], total: int, generated: str) -> str:
     lines = [
-        "# Weather Data Profile Report", "",
+        config.PROFILE_REPORT_TITLE, "",
         f"Generated: {generated}", "",
         f"Total Records: {total}", "",
         "## Column Statistics", "",

@@ -44,12 +44,12 @@ def schema_issues(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> list
     missing = [c for c in rules.required_columns if c not in df.columns]
     if missing:
         listed = ", ".join(repr(c) for c in sorted(missing))  # stable order, set notation
-        issues.append(f"Missing required columns: {{{listed}}}")
+        issues.append(config.ISSUE_MISSING_COLUMNS.format(columns="{" + listed + "}"))
     for name in rules.numeric_columns:
         if name in df.columns:
             dtype = df.schema[name].dataType
             if not isinstance(dtype, StringType):
-                issues.append(f"Column {name} should be StringType, got {dtype}")
+                issues.append(config.ISSUE_NOT_STRING.format(column=name, dtype=dtype))
     return issues
 
 
@@ -68,9 +68,9 @@ def schema_check(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> DataF
         must_be_string = name in rules.numeric_columns
         type_ok = (not present) or (not must_be_string) or isinstance(dtype, StringType)
         if required and not present:
-            issue = f"Missing required column: {name}"
+            issue = config.ISSUE_MISSING_COLUMN.format(column=name)
         elif not type_ok:
-            issue = f"Column {name} should be StringType, got {dtype}"
+            issue = config.ISSUE_NOT_STRING.format(column=name, dtype=dtype)
         else:
             issue = None
         structs.append(F.struct(
@@ -148,10 +148,10 @@ def _range_structs(measures: DataFrame, rules: ValidationRules) -> list[Column]:
             mx.alias("max_value"),
             below.alias("below_low"),
             above.alias("above_high"),
-            F.when(below, F.format_string("%s minimum value %s below threshold %s",
+            F.when(below, F.format_string(config.ISSUE_BELOW_MIN,
                                           F.lit(rule.column), _fmt_num(mn), F.lit(str(rule.low))))
             .alias("low_issue"),
-            F.when(above, F.format_string("%s maximum value %s above threshold %s",
+            F.when(above, F.format_string(config.ISSUE_ABOVE_MAX,
                                           F.lit(rule.column), _fmt_num(mx), F.lit(str(rule.high))))
             .alias("high_issue"),
         ))
@@ -183,7 +183,7 @@ def _date_cols(measures: DataFrame, rules: ValidationRules) -> dict[str, Column]
             "total_dates": F.lit(None).cast("bigint"),
             "invalid_percentage": F.lit(None).cast("double"),
             "dates_valid": F.lit(False),
-            "date_issue": F.lit("DATE column not found"),
+            "date_issue": F.lit(config.ISSUE_NO_DATE_COLUMN),
         }
     pct = F.when(F.col("nonnull_dates") > 0,
                  F.col("invalid_dates").cast("double") * F.lit(100.0)
@@ -195,7 +195,7 @@ def _date_cols(measures: DataFrame, rules: ValidationRules) -> dict[str, Column]
         "invalid_percentage": pct,
         "dates_valid": ~too_many,
         "date_issue": F.when(too_many, F.format_string(
-            "High percentage of invalid dates: %.2f%%", pct)),
+            config.ISSUE_INVALID_DATES, pct)),
     }
 
 

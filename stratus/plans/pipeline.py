@@ -185,7 +185,7 @@ def render_run_report(result: PipelineResult) -> str:
     v = result.validation
     metrics = {r["metric"]: r["value"] for r in result.metrics.collect()}
     lines = [
-        "# Performance Report",
+        config.RUN_REPORT_TITLE,
         f"Generated: {_dt.datetime.now().strftime('%Y-%m-%d %H:%M:%S')}",
         "",
         "## Processing Metrics",

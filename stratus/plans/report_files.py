@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import config
 from ..operators import profile
 from ..sources.parquet import read_parquet
 from .pipeline import PipelineResult, render_run_report
@@ -45,7 +46,7 @@ def profile_parquet(spark: SparkSession, parquet_path: str, report_path: str | N
     if report_path:
         rows = prof.collect()
         total = rows[0]["row_count"] if rows else 0
-        lines = ["# Data Profile Report", "", f"**Total Rows:** {total}", ""]
+        lines = [config.PARQUET_PROFILE_TITLE, "", f"**Total Rows:** {total}", ""]
         lines += [f"- **{r['column_name']}**: nulls={r['null_count']}, min={r['min_value']}, "
                   f"max={r['max_value']}" for r in rows]
         _write(report_path, "\n".join(lines) + "\n")
