@@ -48,3 +48,27 @@ def write_partitioned_parquet(df: DataFrame, path: str,
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read Parquet back; ``year=``/``month=`` directories become INT columns."""
     return spark.read.parquet(path)
+
+
+def write_bucketed_table(df: DataFrame, path: str, table: str, buckets: int,
+                         by: str, sort_by: tuple[str, ...]) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed by ``by`` (one sorted file per bucket).
+
+    Rows are hash-partitioned on ``by`` into exactly ``buckets`` partitions
+    first, so each write task holds one bucket and writes one file sorted by
+    ``sort_by``. A scan of the table then reports hash partitioning on ``by``
+    with ``buckets`` partitions, and any window or aggregate keyed on ``by``
+    runs without an exchange. The table is registered in the session catalog
+    over ``path`` (external), and its data lives under ``path``.
+    """
+    spark = df.sparkSession
+    (
+        df.repartition(buckets, by)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, by)
+        .sortBy(*sort_by)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return spark.table(table)

@@ -96,3 +96,13 @@ def test_single_partition_exchange_only_on_small_aggregates(spark):
     tree = plan.split("\n\n")[0]
     # the unpartitioned window sits above the pattern aggregate (at most 6 rows)
     assert tree.index("Window") < tree.index("HashAggregate")
+
+
+def test_time_series_on_bucketed_gold_needs_no_shuffle(spark):
+    queries = build_queries()
+    for name in ("daily_change", "rolling_metrics", "station_timeseries"):
+        plan = plan_of(queries[name](spark, SF))
+        assert "Bucketed: true" in plan, name
+        assert nodes(plan, "Exchange") == 0, name
+    # the station predicate also prunes buckets
+    assert "SelectedBucketsCount: 1 out of" in plan_of(queries["station_timeseries"](spark, SF))
