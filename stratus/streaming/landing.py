@@ -16,6 +16,13 @@ No streaming state is kept: the daily aggregate of a month is always
 recomputed from its silver rows, so late files for an old day are handled
 the same way as new ones. The progress of the file source lives in the
 checkpoint folder (the shared ``spark.checkpoint.dir`` by default).
+
+Cost per micro-batch: one write of the batch's silver rows, plus one read of
+the silver rows of every month the batch touches (partition-pruned to those
+months) and a rewrite of those gold months. Gold is one row per station and
+day, much smaller than silver. When files arrive often for a large current
+month, size ``max_files_per_trigger`` or the trigger interval so that a batch
+carries enough new data to amortise the month re-read.
 """
 
 from __future__ import annotations
