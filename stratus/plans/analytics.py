@@ -25,8 +25,13 @@ def view_count(spark: SparkSession, name: str = config.DEFAULT_VIEW_NAME) -> Dat
     return spark.sql(f"SELECT COUNT(*) AS count FROM {name}")
 
 
-def analytics_suite(gold: DataFrame, station: str | None = None) -> dict[str, DataFrame]:
-    """Named reports over gold: basic, advanced, quality and dashboard groups."""
+def analytics_suite(gold: DataFrame, station: str | None = None,
+                    gold_by_station: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Named reports over gold: basic, advanced, quality and dashboard groups.
+
+    ``gold_by_station`` (a station-bucketed copy, see ``pipeline.transform``)
+    serves the per-station time series without a shuffle.
+    """
     suite = {
         "monthly_summary": reports.monthly_summary(gold),
         "temperature_extremes": reports.temperature_extremes(gold),
@@ -42,5 +47,6 @@ def analytics_suite(gold: DataFrame, station: str | None = None) -> dict[str, Da
         "dataset_span": reports.dataset_span(gold),
     }
     if station is not None:
-        suite["station_timeseries"] = timeseries.station_timeseries(gold, station)
+        series_source = gold if gold_by_station is None else gold_by_station
+        suite["station_timeseries"] = timeseries.station_timeseries(series_source, station)
     return suite

@@ -242,3 +242,17 @@ def test_default_date_range_is_last_30_days():
 
     start, end = default_date_range(dt.date(2024, 3, 31))
     assert (start, end) == ("2024-03-01", "2024-03-31")
+
+
+def test_pipeline_bucketed_copy(spark, tmp_dir):
+    from stratus.plans import analytics_suite
+    from stratus.plans.inspect import explain_string
+    from stratus.plans.registry import Layers
+
+    res = pipeline.transform(spark, Layers(10).bronze(spark, "/root/testdata/sf0.001"),
+                             os.path.join(tmp_dir, "g"), station_buckets=4)
+    assert res.gold_by_station.count() == res.view_count
+    series = analytics_suite(res.gold, station="STN1", gold_by_station=res.gold_by_station)["station_timeseries"]
+    plan = explain_string(series)
+    assert "Bucketed: true" in plan and "Exchange" not in plan.split("\n\n")[0]
+    assert series.count() == 10
