@@ -58,14 +58,17 @@ class StoredLayers(Layers):
 
     _paths: dict = {}
 
-    def _stored(self, spark: SparkSession, sf_dir: str, layer: str, build) -> DataFrame:
+    def _key(self, spark: SparkSession, sf_dir: str, layer: str) -> tuple:
         src = f"{sf_dir.rstrip('/')}/lineitem.parquet"
         try:
             st = os.stat(src)
             signature = (st.st_size, st.st_mtime_ns)
         except OSError:
             signature = None
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, layer, signature)
+        return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, layer, signature)
+
+    def _stored(self, spark: SparkSession, sf_dir: str, layer: str, build) -> DataFrame:
+        key = self._key(spark, sf_dir, layer)
         cached = self._paths.get(key)
         if cached is None or not _exists(spark, cached[0]):
             path = scratch_path(spark, f"{layer}-{self.stations}")
@@ -92,7 +95,7 @@ class StoredLayers(Layers):
         Every per-station window reads this copy and needs no shuffle: the
         bucketed scan already delivers rows hash-partitioned by station.
         """
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, "gold_by_station")
+        key = self._key(spark, sf_dir, "gold_by_station")
         cached = self._paths.get(key)
         if cached is None or not _exists(spark, cached[0]):
             path = scratch_path(spark, f"gold-by-station-{self.stations}")
