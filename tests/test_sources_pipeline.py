@@ -256,3 +256,11 @@ def test_pipeline_bucketed_copy(spark, tmp_dir):
     plan = explain_string(series)
     assert "Bucketed: true" in plan and "Exchange" not in plan.split("\n\n")[0]
     assert series.count() == 10
+
+
+def test_run_full_ingests_then_transforms(spark, tmp_dir):
+    res = pipeline.run_full(spark, os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "out"),
+                            station_id="GHCND:USW00014735", start_date="2024-02-01",
+                            end_date="2024-02-29", seed=4)
+    assert res.view_count == 29
+    assert {r.station for r in res.gold.select("station").distinct().collect()} == {"USW00014735"}
