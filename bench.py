@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,7 +28,6 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     stations = int(os.environ.get("BENCH_STATIONS", "100"))
-    scratch = tempfile.mkdtemp(prefix="stratus-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("stratus-bench")
@@ -39,7 +37,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", str(max(cpus * 2, 8)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -47,7 +44,7 @@ def main() -> None:
     from stratus.operators import pattern_distribution
     from stratus.plans import analytics_suite, pipeline
     from stratus.plans.registry import Layers, StoredLayers, build_queries
-    from stratus.session import ensure_checkpoint_dir
+    from stratus.session import ensure_checkpoint_dir, scratch_path
 
     ensure_checkpoint_dir(spark)
     queries = build_queries(stations=stations)
@@ -72,7 +69,7 @@ def main() -> None:
     # the stored gold table.
     t0 = time.perf_counter()
     result = pipeline.transform(spark, Layers(stations).bronze(spark, sf_dir),
-                                os.path.join(scratch, "gold"))
+                                scratch_path(spark, "bench-gold"))
     times["pipeline_transform"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
     for df in analytics_suite(result.gold, station="STN1").values():

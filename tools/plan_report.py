@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from stratus.plans.inspect import explain_string, uses_python  # noqa: E402
 from stratus.plans.registry import build_queries  # noqa: E402
+from stratus.session import ensure_checkpoint_dir  # noqa: E402
 
 WRITES = {"bronze_csv_roundtrip", "gold_parquet_roundtrip", "gold_idempotent", "full_pipeline"}
 
@@ -59,9 +60,9 @@ def main() -> None:
              .config("spark.sql.shuffle.partitions", "16")
              # static plans show whole-stage codegen ids; shapes are the same with AQE
              .config("spark.sql.adaptive.enabled", "false")
-             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="plans-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
     print("| query | scans | exchanges (what is shuffled) | windows | sorts | hash aggregates | codegen stages | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in sorted(build_queries().items()):
