@@ -264,3 +264,40 @@ def test_run_full_ingests_then_transforms(spark, tmp_dir):
                             end_date="2024-02-29", seed=4)
     assert res.view_count == 29
     assert {r.station for r in res.gold.select("station").distinct().collect()} == {"USW00014735"}
+
+
+def test_dynamic_overwrite_replaces_only_present_months(spark, tmp_dir, bronze_rows):
+    out = os.path.join(tmp_dir, "gold")
+    first = daily_gold(clean_observations(bronze_rows([
+        ("2024-01-01", "S", "250", "150", "1", "0", "0", "3"),
+        ("2024-02-01", "S", "260", "160", "2", "0", "0", "4"),
+    ])))
+    write_partitioned_parquet(first, out)
+    update = daily_gold(clean_observations(bronze_rows([
+        ("2024-02-01", "S", "200", "100", "9", "0", "0", "4"),
+        ("2024-02-02", "S", "210", "110", "1", "0", "0", "4"),
+    ])))
+    write_partitioned_parquet(update, out, dynamic_overwrite=True)
+    got = {(str(r.date), r.total_precipitation) for r in read_parquet(spark, out).collect()}
+    assert got == {("2024-01-01", 1.0), ("2024-02-01", 9.0), ("2024-02-02", 1.0)}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_results_do_not_depend_on_ansi_mode(spark, bronze_rows, ansi):
+    from stratus.operators import validation_summary
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        raw = bronze_rows([
+            ("2024-01-01", "S", "26x", "150", "", "0", "0", "50"),
+            ("2024-13-03", "S", "250", "150", "1", "0", "0", "50"),
+            ("2024-01-02", "S", "250", "", "1e1", "0", "0", " 7"),
+        ])
+        silver = clean_observations(raw).orderBy("date").collect()
+        assert [(str(r.date), r.tmax, r.tmin, r.prcp, r.awnd) for r in silver] == [
+            ("2024-01-01", None, 150.0, None, 50.0), ("2024-01-02", 250.0, None, 10.0, 7.0)]
+        v = validation_summary(raw).first()
+        assert v.schema_valid and v.dates_valid and not v.ranges_valid
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
