@@ -42,7 +42,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from stratus.operators import pattern_distribution
-    from stratus.plans import analytics_suite, pipeline
+    from stratus.plans import analytics_suite, pipeline, run_reports
     from stratus.plans.registry import Layers, StoredLayers, build_queries
     from stratus.session import ensure_checkpoint_dir, scratch_path
 
@@ -72,8 +72,7 @@ def main() -> None:
                                 scratch_path(spark, "bench-gold"))
     times["pipeline_transform"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    for df in analytics_suite(result.gold, station="STN1").values():
-        force(df)
+    run_reports(analytics_suite(result.gold, station="STN1"), lambda name, df: force(df), max_parallel=4)
     times["analytics_suite_on_stored_gold"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
     force(pattern_distribution(result.gold))

@@ -50,3 +50,29 @@ def analytics_suite(gold: DataFrame, station: str | None = None,
         series_source = gold if gold_by_station is None else gold_by_station
         suite["station_timeseries"] = timeseries.station_timeseries(series_source, station)
     return suite
+
+
+def write_report_parquet(base_path: str):
+    """A sink that writes each report as one Parquet directory under ``base_path``."""
+    def sink(name: str, df: DataFrame) -> str:
+        path = f"{base_path.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return path
+    return sink
+
+
+def run_reports(suite: dict[str, DataFrame], sink, max_parallel: int = 4) -> dict:
+    """Materialise every report with ``sink(name, df)``, up to ``max_parallel`` at once.
+
+    Reports are independent jobs; submitting them from a small thread pool
+    lets Spark run them concurrently, so short jobs overlap instead of each
+    waiting for the previous job's last task. Results are returned by name;
+    the first failure is raised.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if max_parallel <= 1:
+        return {name: sink(name, df) for name, df in suite.items()}
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        futures = {name: pool.submit(sink, name, df) for name, df in suite.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -301,3 +301,15 @@ def test_results_do_not_depend_on_ansi_mode(spark, bronze_rows, ansi):
         assert v.schema_valid and v.dates_valid and not v.ranges_valid
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_run_reports_in_parallel(spark, tmp_dir):
+    from stratus.plans import analytics_suite, run_reports, write_report_parquet
+    from stratus.plans.registry import Layers
+
+    gold = Layers(10).gold(spark, "/root/testdata/sf0.001")
+    suite = analytics_suite(gold, station="STN1")
+    paths = run_reports(suite, write_report_parquet(os.path.join(tmp_dir, "reports")), max_parallel=4)
+    assert set(paths) == set(suite)
+    for name, path in paths.items():
+        assert read_parquet(spark, path).count() == suite[name].count(), name
