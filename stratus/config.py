@@ -150,6 +150,13 @@ CLIMATE_BANDS = (
 )
 CLIMATE_DEFAULT = "Cold Climate"
 
+# Day classes used by the extremes and dashboard reports: a hot day has a
+# mean of at least 25, a freezing day a mean below 0, a rainy day any
+# precipitation above 0.
+HOT_DAY_MIN = 25
+FREEZING_DAY_BELOW = 0
+RAINY_DAY_ABOVE = 0
+
 # Temperature quality: (tmax above, tmin below, label), first match wins.
 TEMPERATURE_QUALITY_RULES = (
     (40, -20, "Extreme Temperature"),

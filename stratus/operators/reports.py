@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import labels
 from ..functions.cleaning import scaled_mean
 
@@ -51,7 +52,8 @@ def monthly_summary(gold: DataFrame) -> DataFrame:
     )
 
 
-def temperature_extremes(gold: DataFrame, hot: float = 25, freezing: float = 0) -> DataFrame:
+def temperature_extremes(gold: DataFrame, hot: float = config.HOT_DAY_MIN,
+                         freezing: float = config.FREEZING_DAY_BELOW) -> DataFrame:
     """Days at or above ``hot`` or below ``freezing``, hottest first."""
     return (
         gold.where((F.col(T) >= hot) | (F.col(T) < freezing))
@@ -61,7 +63,7 @@ def temperature_extremes(gold: DataFrame, hot: float = 25, freezing: float = 0)
 
 
 def precipitation_analysis(gold: DataFrame) -> DataFrame:
-    rainy = F.col(P) > 0
+    rainy = F.col(P) > config.RAINY_DAY_ABOVE
     return (
         gold.groupBy("month")
         .agg(
@@ -84,9 +86,9 @@ def monthly_dashboard(gold: DataFrame) -> DataFrame:
             _r1(F.min(T)).alias("min_temperature"),
             _r1(F.max(T)).alias("max_temperature"),
             _r1(F.sum(P)).alias("total_precipitation"),
-            _count_if(F.col(P) > 0).alias("rainy_days"),
-            _count_if(F.col(T) < 0).alias("freezing_days"),
-            _count_if(F.col(T) >= 25).alias("hot_days"),
+            _count_if(F.col(P) > config.RAINY_DAY_ABOVE).alias("rainy_days"),
+            _count_if(F.col(T) < config.FREEZING_DAY_BELOW).alias("freezing_days"),
+            _count_if(F.col(T) >= config.HOT_DAY_MIN).alias("hot_days"),
             _r1(scaled_mean(W)).alias("avg_wind_speed"),
         )
         .select("month", labels.month_name("month").alias("month_name"), "total_days",
@@ -192,7 +194,7 @@ def latest_days(gold: DataFrame, n: int = 5) -> DataFrame:
 
 
 def year_month_summary(silver: DataFrame,
-                       divisor: float = 10.0) -> DataFrame:
+                       divisor: float = config.TEMPERATURE_DIVISOR) -> DataFrame:
     """Per ``yyyy-MM``: mean max and min temperature (°C) and total precipitation.
 
     Means are taken on the integer tenths and converted (exact in any order).
