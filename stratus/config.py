@@ -157,6 +157,10 @@ HOT_DAY_MIN = 25
 FREEZING_DAY_BELOW = 0
 RAINY_DAY_ABOVE = 0
 
+# Rolling frames of the time-series view (ROWS frames, current row included).
+ROLLING_MEAN_ROWS = 3
+ROLLING_SUM_ROWS = 7
+
 # Temperature quality: (tmax above, tmin below, label), first match wins.
 TEMPERATURE_QUALITY_RULES = (
     (40, -20, "Extreme Temperature"),

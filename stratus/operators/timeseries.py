@@ -38,7 +38,7 @@ def change(c: str, w=None) -> Column:
     return F.col(c) - previous_value(c, w)
 
 
-def rolling_avg(c: str, rows: int = 3, w=None, digits: int = config.TEMPERATURE_PRECISION) -> Column:
+def rolling_avg(c: str, rows: int = config.ROLLING_MEAN_ROWS, w=None, digits: int = config.TEMPERATURE_PRECISION) -> Column:
     """Mean of this row and the ``rows - 1`` rows before it (short at the start).
 
     Computed on the scaled integers of the fixed-precision gold values (see
@@ -49,7 +49,7 @@ def rolling_avg(c: str, rows: int = 3, w=None, digits: int = config.TEMPERATURE_
     return F.avg(F.round(F.col(c) * F.lit(scale))).over(frame) / F.lit(scale)
 
 
-def rolling_sum(c: str, rows: int = 7, w=None) -> Column:
+def rolling_sum(c: str, rows: int = config.ROLLING_SUM_ROWS, w=None) -> Column:
     return F.sum(c).over((w or station_window()).rowsBetween(-(rows - 1), Window.currentRow))
 
 
@@ -61,8 +61,8 @@ def with_time_series(gold: DataFrame) -> DataFrame:
         previous_value(T, w).alias("prev_day_temp"),
         next_value(T, w).alias("next_day_temp"),
         change(T, w).alias("temp_change"),
-        rolling_avg(T, 3, w).alias("rolling_3day_avg"),
-        rolling_sum(P, 7, w).alias("rolling_7day_precip"),
+        rolling_avg(T, config.ROLLING_MEAN_ROWS, w).alias("rolling_3day_avg"),
+        rolling_sum(P, config.ROLLING_SUM_ROWS, w).alias("rolling_7day_precip"),
     )
 
 
@@ -93,6 +93,6 @@ def rolling_metrics(gold: DataFrame) -> DataFrame:
     w = station_window()
     return gold.select(
         "date", "station", T, P,
-        rolling_avg(T, 3, w).alias("rolling_3day_avg"),
-        rolling_sum(P, 7, w).alias("rolling_7day_precip"),
+        rolling_avg(T, config.ROLLING_MEAN_ROWS, w).alias("rolling_3day_avg"),
+        rolling_sum(P, config.ROLLING_SUM_ROWS, w).alias("rolling_7day_precip"),
     )
