@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +48,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers (once per application).
+
+    Needed where workers cannot import the package by themselves, for example
+    when the driver found it on a path of its own.
+    """
+    context = spark.sparkContext
+    if _shipped.get("to") == context.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="stratus-package-")  # read by the driver only, which serves it
+    archive = os.path.join(folder, "stratus_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped["to"] = context.applicationId
+
+
+_shipped: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
