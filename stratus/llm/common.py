@@ -8,7 +8,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -33,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(value: Column) -> Column:
+    """``value`` itself, as an expression that the optimizer does not copy.
+
+    A filter on a column that is built up over several projections would be
+    pushed below them with all the nested array expressions written out, once
+    per reference. A projection that numbers its rows is left in its place.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def to_bytes(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE
+from .common import SPACE, settled
 
 #: Frequent words of the languages kept (English, French, German, Spanish).
 STOP_WORDS = (
@@ -97,7 +97,7 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
     covered = F.aggregate("places_", start, lambda acc, i: F.struct(
         (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n"), i.alias("last")))
-    return df.withColumn("n_repeat_words", F.coalesce(covered["n"], F.lit(0)).cast("long"))
+    return df.withColumn("n_repeat_words", settled(F.coalesce(covered["n"], F.lit(0)).cast("long")))
 
 
 def counted(df: DataFrame, text: Column) -> DataFrame:
@@ -125,7 +125,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), F.concat_ws(",", *broken).alias("failed_rules"),
     ).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-             (~F.col("base_failed") & (F.col("failed_rules") == "")).alias("kept"), "failed_rules")
+             settled(~F.col("base_failed") & (F.col("failed_rules") == "")).alias("kept"), "failed_rules")
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -137,7 +137,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     good = (F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("n_words"))
     for r in rules:
         good = good & F.col(f"m_{r.metric}").between(r.low, r.high)
-    return df.where(good).select("row_.*")
+    return df.select("row_", settled(good).alias("good_")).where("good_").select("row_.*")
 
 
 def _sql_list(words) -> str:

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, settled
 
 _PLACE_BITS = 30
 _PLACES = (1 << _PLACE_BITS) - 1
@@ -49,7 +49,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str, s: Settings = Settings(
 
     df = df.withColumn(out, runs(s.k, lambda i: F.shiftleft(
         F.xxhash64(F.slice(out, i, s.k)).bitwiseAND(F.lit(_HASHES)), _PLACE_BITS) + (F.lit(_PLACES) - i)))
-    return df.withColumn(out, F.array_distinct(runs(s.window, lambda i: F.array_min(F.slice(out, i, s.window)))))
+    return df.withColumn(out, settled(F.array_distinct(runs(s.window, lambda i: F.array_min(F.slice(out, i, s.window))))))
 
 
 def hashes(fingerprint: str) -> Column:
