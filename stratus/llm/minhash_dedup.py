@@ -4,10 +4,11 @@
    keys. Texts with equal sets form one class, represented by its smallest
    doc_id; only representatives go on, so groups of copies cost one row each.
 2. Classes that share a band key are candidates. They are not paired with each
-   other: each bucket's pivot is compared with its members (a star), then the
-   buckets that still hold several components get a second star round, and
-   whatever remains apart is compared block against block, so that no pair of
-   different components that share a bucket is left out.
+   other: each bucket's pivot is compared with its members (a star). In buckets
+   that still hold several components, the members outside the largest one are
+   compared with the rest, block against block: first only the most similar
+   ones are followed up, which joins most of them, at last all that agree, so
+   that no pair of different components that share a bucket is left out.
 3. A candidate's signatures are compared batch by batch; it is dropped as soon
    as the posterior probability of a similarity at or above the threshold,
    given the matches so far and a uniform prior, falls below ``miss``.
@@ -23,13 +24,14 @@ are ignored. A link at the threshold itself shares no band with probability
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, mix, record_batches, word_hashes
@@ -44,8 +46,9 @@ class Settings:
     rows: int = 6             # hashes in a band
     batch: int = 30           # hashes compared at a time
     miss: float = 1e-6        # posterior probability below which a candidate goes
-    star_rounds: int = 2      # star comparisons before the blocks
-    block: int = 1024         # unsettled members in a block; 8 times as many on the other side
+    nearest: int = 2          # most similar members of a block checked per unsettled member
+    block: int = 512          # unsettled members in a block; twice as many on the other side
+    block_shingles: int = 1 << 21  # and shingles of theirs, about
     partners: int = 256       # texts checked against one copy of a pivot's text
 
     @property
@@ -131,8 +134,8 @@ def least_matches(hashes: int, batch: int, threshold: float, miss: float) -> lis
     return out
 
 
-def survivors(left: np.ndarray, right: np.ndarray, batch: int, least: list[int]) -> np.ndarray:
-    """Indexes of the signature pairs that no batch rules out."""
+def survivors(left: np.ndarray, right: np.ndarray, batch: int, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the signature pairs that no batch rules out, and their numbers of equal hashes."""
     alive, matches = np.arange(len(left)), np.zeros(len(left), np.int64)
     for i, needed in enumerate(least):
         part = slice(i * batch, (i + 1) * batch)
@@ -140,7 +143,7 @@ def survivors(left: np.ndarray, right: np.ndarray, batch: int, least: list[int])
         alive, matches = alive[matches >= needed], matches[matches >= needed]
         if not len(alive):
             break
-    return alive
+    return alive, matches
 
 
 def _matrix(column: pa.Array, hashes: int) -> np.ndarray:
@@ -161,7 +164,7 @@ def prune(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                kept = survivors(_matrix(batch.column(2), s.hashes), _matrix(batch.column(3), s.hashes), s.batch, least)
+                kept, _ = survivors(_matrix(batch.column(2), s.hashes), _matrix(batch.column(3), s.hashes), s.batch, least)
                 yield batch.select(["a", "b"]).take(pa.array(kept))
 
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
@@ -218,33 +221,41 @@ def _unsettled(members: DataFrame) -> DataFrame:
                                  (F.col("all") - F.col("top.n")).alias("apart"))
 
 
-def _block_pairs(members: DataFrame, open_buckets: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
-    """Signature survivors among members of one bucket that are in different components.
-
-    The members outside the bucket's largest component, in blocks, against all
-    members, in blocks; no pair is written before its signatures agree.
-    """
-    least = least_matches(s.hashes, s.batch, s.percent / 100, s.miss)
-    rows = members.join(open_buckets, "key").join(reps.select("cid", "sig"), "cid").select(
-        "key", "cid", "label", (F.col("label") != F.col("main")).alias("apart_"), "sig",
-        F.ceil(F.col("apart") / s.block).cast("int").alias("us"),
-        F.ceil((F.col("apart") + F.col("settled")) / (8 * s.block)).cast("int").alias("ms"))
+def _in_blocks(rows: DataFrame, u_blocks: Column, m_blocks: Column, columns: list[str]) -> DataFrame:
+    """Unsettled rows (kind 0) in blocks before all rows (kind 1) in blocks, for every two blocks of a bucket."""
+    rows = rows.withColumn("us", F.ceil(u_blocks).cast("int")).withColumn("ms", F.ceil(m_blocks).cast("int"))
 
     def side(kind, own, others, n_own, n_others):
         return rows.withColumn(own, F.pmod(F.xxhash64("cid"), F.col(n_own)).cast("int")).withColumn(
             others, F.explode(F.sequence(F.lit(0), F.col(n_others) - 1))).withColumn("kind", F.lit(kind))
 
-    cols = ["key", "u", "m", "kind", "cid", "label", "apart_", "sig"]
+    cols = ["key", "u", "m", "kind", "cid", "label", "apart_", *columns]
     both = side(0, "u", "m", "us", "ms").where("apart_").select(cols).union(side(1, "m", "u", "ms", "us").select(cols))
+    return both.repartition("key", "u", "m").sortWithinPartitions("key", "u", "m", "kind")
+
+
+def _block_pairs(members: DataFrame, open_buckets: DataFrame, reps: DataFrame, s: Settings, flag: bool) -> DataFrame:
+    """Members of one bucket in different components whose signatures agree: pairs, or flagged members.
+
+    The members outside the bucket's largest component, in blocks, against all
+    members, in blocks. For an unsettled member only its most similar partners
+    of a block are written as pairs ``a, b``. With ``flag`` no pairs are
+    written but ``key, cid`` of every member that has a partner.
+    """
+    least = least_matches(s.hashes, s.batch, s.percent / 100, s.miss)
+    rows = members.join(open_buckets, "key").join(reps.select("cid", "sig"), "cid").withColumn(
+        "apart_", F.col("label") != F.col("main"))
+    both = _in_blocks(rows, F.col("apart") / s.block, (F.col("apart") + F.col("settled")) / (2 * s.block), ["sig"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            at, held, block = None, [], None
+            at, held, block, near = None, [], None, {}
             for batch in batches:
                 for key, u, m, kind, cid, label, apart, sig in zip(
                         *(c.to_pylist() for c in batch.columns), strict=True):
                     if (key, u, m) != at:
-                        at, held, block = (key, u, m), [], None
+                        yield from written(at, near)
+                        at, held, block, near = (key, u, m), [], None, {}
                     if kind == 0:
                         held.append((cid, label, sig))
                         continue
@@ -255,14 +266,107 @@ def _block_pairs(members: DataFrame, open_buckets: DataFrame, reps: DataFrame, s
                                  np.frombuffer(b"".join(x[2] for x in held), np.uint16).reshape(-1, s.hashes))
                     ids, labels, sigs = block
                     todo = np.flatnonzero((labels != label) & ((ids < cid) | (not apart)))
-                    if len(todo):
-                        own = np.broadcast_to(np.frombuffer(sig, np.uint16), (len(todo), s.hashes))
-                        for i in todo[survivors(sigs[todo], own, s.batch, least)]:
-                            other = int(ids[i])
+                    if not len(todo):
+                        continue
+                    own = np.broadcast_to(np.frombuffer(sig, np.uint16), (len(todo), s.hashes))
+                    kept, equal = survivors(sigs[todo], own, s.batch, least)
+                    if flag and len(kept):
+                        near[cid] = ()
+                    for other, n in zip(ids[todo[kept]].tolist(), equal.tolist(), strict=True):
+                        best = near.setdefault(other, [])
+                        if flag:
+                            continue
+                        if len(best) < s.nearest:
+                            heapq.heappush(best, (n, cid))
+                        else:
+                            heapq.heappushpop(best, (n, cid))
+            yield from written(at, near)
+
+        def written(at, near):
+            for cid, best in near.items():
+                if flag:
+                    yield at[0], cid
+                for _, other in best:
+                    yield min(cid, other), max(cid, other)
+
+        return record_batches(rows(), _PAIR)
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def _block_links(members: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Exact links ``a, b`` among the members of one bucket that are in different components.
+
+    Blocks as in _block_pairs, with the full shingle sets. A block's unsettled
+    sets lie in one sorted array, in which a member's shingles are looked up
+    once to get its intersections with all of them. One link of an unsettled
+    member to a component is enough.
+    """
+    schema = pa.schema([("cid", pa.int64()), ("set", pa.binary()), ("size", pa.int64())])
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                for cid, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    found = shingle_set(text.as_py(), s.shingle)
+                    yield cid, found.tobytes(), len(found)
+        return record_batches(rows(), schema, 256)
+
+    sets = texts.join(members.select(F.col("cid").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
+        "doc_id", "text").mapInArrow(shingled, "cid long, set binary, size long")
+    rows = members.join(cut(_unsettled(members)), "key").join(cut(sets), "cid").withColumn(
+        "apart_", F.col("label") != F.col("main"))
+    sizes = cut(rows.groupBy("key").agg(F.sum(F.when(F.col("apart_"), F.col("size"))).alias("shingles")))
+    rows = rows.join(sizes, "key")
+    both = _in_blocks(rows, F.greatest(F.col("apart") / s.block, F.col("shingles") / s.block_shingles),
+                      (F.col("apart") + F.col("settled")) / (2 * s.block), ["set"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            at, held, block = None, [], None
+            for batch in batches:
+                heads = [batch.column(i).to_pylist() for i in range(7)]
+                for key, u, m, kind, cid, label, apart, packed in zip(*heads, batch.column(7), strict=True):
+                    own = np.frombuffer(packed.as_py(), np.uint64)
+                    if (key, u, m) != at:
+                        at, held, block = (key, u, m), [], None
+                    if kind == 0:
+                        held.append((cid, label, own))
+                        continue
+                    if not held:
+                        continue
+                    if block is None:
+                        block, done = _SetBlock(held), set()
+                    shared = block.shared(own)
+                    near = 100 * shared >= s.percent * (block.sizes + len(own) - shared)
+                    near &= (block.labels != label) & ((block.ids < cid) | (not apart))
+                    for i in np.flatnonzero(near).tolist():
+                        if (i, label) not in done:
+                            done.add((i, label))
+                            other = int(block.ids[i])
                             yield min(cid, other), max(cid, other)
         return record_batches(rows(), _PAIR)
 
-    return both.repartition("key", "u", "m").sortWithinPartitions("key", "u", "m", "kind").mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+class _SetBlock:
+    def __init__(self, held: list[tuple[int, int, np.ndarray]]):
+        self.ids = np.array([x[0] for x in held])
+        self.labels = np.array([x[1] for x in held])
+        self.sizes = np.array([len(x[2]) for x in held])
+        values = np.concatenate([x[2] for x in held])
+        order = np.argsort(values)
+        self.owners = np.repeat(np.arange(len(held)), self.sizes)[order]
+        self.values, self.starts, self.counts = np.unique(values[order], return_index=True, return_counts=True)
+
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of a set with every set of the block."""
+        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        at = at[self.values[at] == own]
+        n = self.counts[at]
+        places = np.repeat(self.starts[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else n
+        return np.bincount(self.owners[places], minlength=len(self.ids))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -286,20 +390,18 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = cut(confirm(prune(stars, reps, s), texts, s))
     labels = cut(components(links))
     members = members.where("cid <> pivot").select("key", "cid")  # a pivot has met all of its bucket
-    for turn in range(s.star_rounds):
+    for last in (False, True):
         labelled = cut(_with_labels(members, labels))
         open_buckets = cut(_unsettled(labelled))
         if open_buckets.isEmpty():
             break
-        if turn < s.star_rounds - 1:
-            inside = labelled.join(open_buckets.select("key", "main"), "key")
-            pivots = inside.where("label <> main").groupBy("key").agg(F.min("cid").alias("a"))
-            ends = pivots.join(inside.select("key", F.col("cid").alias("a"), F.col("label").alias("from")), ["key", "a"])
-            found = inside.join(ends, "key").where("label <> `from`").select("a", F.col("cid").alias("b")).distinct()
-            found = prune(found, reps, s)
+        found = cut(_block_pairs(labelled, open_buckets, reps, s, flag=last).distinct())
+        if last:
+            flagged = cut(labelled.join(found.toDF("key", "cid"), ["key", "cid"], "left_semi"))
+            found = _block_links(flagged, texts, s)
         else:
-            found = _block_pairs(labelled, open_buckets, reps, s)
-        links = cut(links.union(confirm(found, texts, s)))
+            found = confirm(found, texts, s)
+        links = cut(links.union(found))
         labels = cut(components(links))
 
     classes = reps.select("set1", "set2", "cid").join(labels, F.col("cid") == F.col("node"), "left").select(
