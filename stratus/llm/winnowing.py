@@ -98,12 +98,14 @@ def compare_with_edits(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"),
                        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    order = cut(successors(docs.where("doc_id is not null").select(F.col("doc_id").alias("id")).distinct()))
-    ranked = docs.withColumn("rank_", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    following = ranked.where("doc_id is not null and rank_ = 1").select("doc_id", "text").join(
+    named = docs.where("doc_id is not null")  # read and dealt out by doc_id once, for both sides
+    order = cut(successors(named.select(F.col("doc_id").alias("id")).distinct()))
+    ranked = named.withColumn("rank_", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    following = ranked.where(settled(F.col("rank_")) == 1).select("doc_id", "text").join(
         order, F.col("doc_id") == F.col("next")).select(F.col("id").alias("at_"), F.col("text").alias("next_text"))
-    df = docs.join(following, docs["doc_id"] == following["at_"], "left").select(
-        "doc_id", "text", F.coalesce("next_text", F.lit("")).alias("next_text"))
+    paired = named.join(following, named["doc_id"] == following["at_"], "left").select("doc_id", "text", "next_text")
+    df = paired.union(docs.where("doc_id is null").select("doc_id", "text", F.lit("")))
+    df = df.withColumn("next_text", F.coalesce("next_text", F.lit("")))
     df = df.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     df = df.withColumn("edited", F.concat(
