@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,7 +39,9 @@ from .common import record_batches, to_bytes
 @dataclass(frozen=True)
 class Settings:
     tokenizer: str = "word_bpe_49k.json"
-    leaf: int = 1 << 16     # code points encoded in one go
+    leaf: int = 1 << 15     # code points encoded in one go
+    words: bool = True      # white space separates and is dropped, so that words are encoded each by itself
+    memo: int = 300_000     # encoded words remembered by a task; forgotten together when full
     window: int = 64        # first window on each side of a cut
     agree: int = 4          # tokens in a row that must agree
     batch: int = 128        # texts given to the library at a time
@@ -63,6 +67,32 @@ def tokenizer(name: str):
     return _loaded[name]
 
 
+class WordCoder:
+    """Texts to ids, little-endian 32-bit, by the library; words seen before are taken from memory."""
+
+    def __init__(self, s: Settings):
+        self.tok, self.s, self.seen = tokenizer(s.tokenizer), s, {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.s.words:
+            return [_packed(x.ids) for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        split = [_space.split(t) for t in texts]
+        if len(self.seen) > self.s.memo:
+            self.seen.clear()
+        new = list(set().union(*split).difference(self.seen))
+        got = self.tok.encode_batch_fast(new, add_special_tokens=False)
+        self.seen.update((w, _packed(x.ids)) for w, x in zip(new, got, strict=True))
+        find = self.seen.__getitem__
+        return [b"".join(map(find, words)) for words in split]
+
+
+_space = re.compile("[ \\t\\n\\r]+")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @dataclass
 class Piece:
     """An encoded stretch of a text: token ids and the code points they cover."""
@@ -140,9 +170,11 @@ def encode_long(tok, text: str, s: Settings) -> list[int]:
     return join_tree(tok, text, pieces, s).ids.tolist() if pieces else []
 
 
-def _digests(tok, ids: list[list[int]]) -> Iterator[tuple[list[int], str, str]]:
-    for own, text in zip(ids, tok.decode_batch(ids, skip_special_tokens=False), strict=True):
-        yield (own, hashlib.sha256(np.array(own, "<u4").tobytes()).hexdigest(), hashlib.sha256(to_bytes(text)).hexdigest())
+def _digests(tok, packed: list[bytes]) -> Iterator[tuple[np.ndarray, str, str]]:
+    ids = [np.frombuffer(x, "<u4") for x in packed]
+    texts = tok.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+    for own, raw, text in zip(ids, packed, texts, strict=True):
+        yield own.astype(np.int32), hashlib.sha256(raw).hexdigest(), hashlib.sha256(to_bytes(text)).hexdigest()
 
 
 def _result_schema(keep: pa.DataType) -> pa.Schema:
@@ -163,13 +195,12 @@ def encode(docs: DataFrame, keep: list[str], settings: Settings = Settings(), wi
     out = f"keep {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(s.tokenizer)
+        coder = WordCoder(s)
         for batch in batches:
             schema = _result_schema(batch.schema.field("keep").type)
             for start in range(0, batch.num_rows, s.batch):
                 part = batch.slice(start, s.batch)
-                got = tok.encode_batch_fast(part.column(1).to_pylist(), add_special_tokens=False)
-                done = list(_digests(tok, [x.ids for x in got]))
+                done = list(_digests(coder.tok, coder.encode(part.column(1).to_pylist())))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(x[0]) for x in done], pa.int64()),
                     pa.array([x[0] if with_ids else None for x in done], pa.list_(pa.int32())),
@@ -210,7 +241,7 @@ def encode(docs: DataFrame, keep: list[str], settings: Settings = Settings(), wi
         for a in order:
             ids, starts, ends = (np.array(group.column(c)[first[a]].as_py(), np.int64) for c in ("ids", "starts", "ends"))
             pieces.append(Piece(a, min(a + s.leaf, len(text)), ids, starts + a, ends + a))
-        own, *digests = next(_digests(tok, [join_tree(tok, text, pieces, s).ids.tolist()]))
+        own, *digests = next(_digests(tok, [join_tree(tok, text, pieces, s).ids.astype("<u4").tobytes()]))
         rows = [(group.column("keep")[i].as_py(), len(own), own if with_ids else None, *digests) for i in copies[0]]
         return pa.Table.from_batches(record_batches(rows, _result_schema(group.schema.field("keep").type)))
 
