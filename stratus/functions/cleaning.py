@@ -65,20 +65,20 @@ def null_or_nan(c: Column | str, data_type: DataType) -> Column:
     return c.isNull()
 
 
-def round_half_up(c: Column | str, digits: int) -> Column:
+def exact_mean(c: Column | str, over=None) -> Column:
+    """AVG of a DOUBLE measure, independent of the order of the rows.
+
+    The values are summed as DECIMAL with ten decimal places (measures have
+    far fewer), so partial sums add up exactly however rows are split across
+    tasks; the mean of the doubles can differ in its last bit and then round
+    differently. Where a value does not fit (NaN, infinity, 1e20 and more)
+    this is the plain AVG. ``over``: a window specification.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c, digits)
-
+    exact = c.try_cast("decimal(30,10)")
 
-def scaled_mean(c: Column | str, digits: int = config.TEMPERATURE_PRECISION) -> Column:
-    """Mean of values stored with ``digits`` decimals, computed exactly.
+    def agg(column: Column) -> Column:
+        return column if over is None else column.over(over)
 
-    Gold measures are rounded to a fixed precision, so ``round(x * 10^d)`` is
-    an integer; sums of integers are exact in any order, which makes the mean
-    independent of how rows are split across tasks (the mean of the doubles
-    themselves can differ in the last bit between partitionings, and that
-    flips the 1-decimal rounding of values such as 11.05).
-    """
-    c = F.col(c) if isinstance(c, str) else c
-    scale = float(10 ** digits)
-    return F.avg(F.round(c * F.lit(scale))) / F.lit(scale)
+    misfits = agg(F.sum(F.when(c.isNotNull() & exact.isNull(), 1).otherwise(0)))
+    return F.when(misfits > 0, agg(F.avg(c))).otherwise(agg(F.sum(exact)).cast("double") / agg(F.count(exact)))

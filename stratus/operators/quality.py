@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType
 
 from .. import config
 from ..config import DEFAULT_RULES, ValidationRules
-from ..functions.cleaning import bad_date_shape, is_missing, numeric_or_null, scaled_mean
+from ..functions.cleaning import bad_date_shape, is_missing, numeric_or_null, exact_mean
 from ..functions.labels import consistency_label, is_inconsistent, precipitation_quality, temperature_quality
 
 
@@ -33,7 +33,9 @@ def _present(df: DataFrame, name: str) -> bool:
 
 
 def _fmt_num(c: Column) -> Column:
-    return c.cast("string")
+    """Number text without an exponent below 1e16 (``20000000.0``)."""
+    plain = F.regexp_replace(c.cast("decimal(30,8)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), plain).otherwise(c.cast("string"))
 
 
 # ---------------------------------------------------------------------------
@@ -54,13 +56,9 @@ def schema_issues(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> list
 
 
 def schema_check(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> DataFrame:
-    """One row per expected column: presence, type and the issue text if any.
-
-    The rows carry the number of rows checked, so the report is tied to the
-    data it describes (one count, answered by a single aggregate).
-    """
+    """One row per expected column: presence, type and the issue text if any (the schema alone is read)."""
     expected = list(dict.fromkeys(list(rules.required_columns) + list(rules.numeric_columns)))
-    structs = []
+    rows = []
     for name in expected:
         present = name in df.columns
         dtype = df.schema[name].dataType if present else None
@@ -73,21 +71,11 @@ def schema_check(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> DataF
             issue = config.ISSUE_NOT_STRING.format(column=name, dtype=dtype)
         else:
             issue = None
-        structs.append(F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit("string").alias("expected_type"),
-            F.lit(dtype.simpleString() if dtype is not None else None).cast("string").alias("actual_type"),
-            F.lit(required).alias("required"),
-            F.lit(present).alias("present"),
-            F.lit(type_ok).alias("type_ok"),
-            F.lit(issue).cast("string").alias("issue"),
-        ))
-    return (
-        df.agg(F.count(F.lit(1)).alias("rows_checked"))
-        .select("rows_checked", F.inline(F.array(*structs)))
-        .select("column_name", "expected_type", "actual_type", "required", "present",
-                "type_ok", "issue", "rows_checked")
-    )
+        rows.append((name, "string", dtype.simpleString() if dtype is not None else None, required, present,
+                     type_ok, issue))
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, expected_type string, actual_type string, required boolean, "
+              "present boolean, type_ok boolean, issue string")
 
 
 # ---------------------------------------------------------------------------
@@ -316,7 +304,7 @@ def range_report(gold: DataFrame, rules=config.REPORT_RANGE_RULES) -> DataFrame:
     for i, (_, c) in enumerate(_REPORT_METRICS):
         r = by_col[c]
         aggs += [
-            F.min(c).alias(f"mn_{i}"), F.max(c).alias(f"mx_{i}"), scaled_mean(c).alias(f"av_{i}"),
+            F.min(c).alias(f"mn_{i}"), F.max(c).alias(f"mx_{i}"), exact_mean(c).alias(f"av_{i}"),
             _count_if((F.col(c) < r.low) | (F.col(c) > r.high)).alias(f"o_{i}"),
         ]
     m = gold.agg(*aggs)
@@ -346,19 +334,18 @@ def consistency_report(gold: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Row-level quality labels -- Q10
 # ---------------------------------------------------------------------------
-def row_quality_labels(silver: DataFrame, ordered: bool = False) -> DataFrame:
-    """Per silver row: temperature and precipitation quality labels.
+def row_quality_labels(silver: DataFrame, ordered: bool = True) -> DataFrame:
+    """Per silver row: temperature and precipitation quality labels, by date.
 
-    A projection only (no shuffle). Ordering by date is opt-in: silver rows
-    have no unique key, so a global sort could send one hot (date, station)
-    to a single range partition.
+    The other output columns break ties, so that one hot day or station
+    spreads over several range partitions. ``ordered=False``: a projection only.
     """
     out = silver.select(
         "date", "station", "tmax_celsius", "tmin_celsius", "prcp",
         temperature_quality("tmax_celsius", "tmin_celsius").alias("temp_quality"),
         precipitation_quality("prcp").alias("precip_quality"),
     )
-    return out.orderBy("date", "station") if ordered else out
+    return out.orderBy("date", "station", "tmax_celsius", "tmin_celsius", "prcp") if ordered else out
 
 
 # ---------------------------------------------------------------------------

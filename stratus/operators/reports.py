@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import labels
-from ..functions.cleaning import scaled_mean
+from ..functions.cleaning import exact_mean
 
 T = "avg_temperature"
 P = "total_precipitation"
@@ -42,9 +42,9 @@ def monthly_summary(gold: DataFrame) -> DataFrame:
         gold.groupBy("year", "month")
         .agg(
             F.count(F.lit(1)).alias("days_count"),
-            _r1(scaled_mean(T)).alias("avg_temp_celsius"),
+            _r1(exact_mean(T)).alias("avg_temp_celsius"),
             _r1(F.sum(P)).alias("total_precipitation_mm"),
-            _r1(scaled_mean(W)).alias("avg_wind_speed"),
+            _r1(exact_mean(W)).alias("avg_wind_speed"),
         )
         .select("year", "month", labels.month_name("month").alias("month_name"),
                 "days_count", "avg_temp_celsius", "total_precipitation_mm", "avg_wind_speed")
@@ -70,7 +70,7 @@ def precipitation_analysis(gold: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("total_days"),
             _count_if(rainy).alias("rainy_days"),
             _r1(_percent(_count_if(rainy), F.count(F.lit(1)))).alias("rainy_day_percentage"),
-            _r1(scaled_mean(P)).alias("avg_daily_precipitation"),
+            _r1(exact_mean(P)).alias("avg_daily_precipitation"),
             _r1(F.max(P)).alias("max_daily_precipitation"),
         )
         .orderBy("month")
@@ -82,14 +82,14 @@ def monthly_dashboard(gold: DataFrame) -> DataFrame:
         gold.groupBy("month")
         .agg(
             F.count(F.lit(1)).alias("total_days"),
-            _r1(scaled_mean(T)).alias("avg_temperature"),
+            _r1(exact_mean(T)).alias("avg_temperature"),
             _r1(F.min(T)).alias("min_temperature"),
             _r1(F.max(T)).alias("max_temperature"),
             _r1(F.sum(P)).alias("total_precipitation"),
             _count_if(F.col(P) > config.RAINY_DAY_ABOVE).alias("rainy_days"),
             _count_if(F.col(T) < config.FREEZING_DAY_BELOW).alias("freezing_days"),
             _count_if(F.col(T) >= config.HOT_DAY_MIN).alias("hot_days"),
-            _r1(scaled_mean(W)).alias("avg_wind_speed"),
+            _r1(exact_mean(W)).alias("avg_wind_speed"),
         )
         .select("month", labels.month_name("month").alias("month_name"), "total_days",
                 "avg_temperature", "min_temperature", "max_temperature",
@@ -108,10 +108,10 @@ def station_performance(gold: DataFrame) -> DataFrame:
         gold.groupBy("station")
         .agg(
             F.count(F.lit(1)).alias("data_points"),
-            _r1(scaled_mean(T)).alias("avg_temp"),
+            _r1(exact_mean(T)).alias("avg_temp"),
             _r1(F.stddev_samp(T)).alias("temp_variability"),
             _r1(F.sum(P)).alias("total_precip"),
-            _r1(scaled_mean(W)).alias("avg_wind"),
+            _r1(exact_mean(W)).alias("avg_wind"),
         )
         .withColumn("climate_category", labels.climate_category("avg_temp"))
         .orderBy(F.col("avg_temp").desc(), "station")
@@ -123,9 +123,9 @@ def seasonal_trends(gold: DataFrame) -> DataFrame:
         gold.groupBy("month")
         .agg(
             F.count(F.lit(1)).alias("days"),
-            _r1(scaled_mean(T)).alias("avg_temp"),
+            _r1(exact_mean(T)).alias("avg_temp"),
             _r1(F.sum(P)).alias("total_precip"),
-            _r1(scaled_mean(W)).alias("avg_wind"),
+            _r1(exact_mean(W)).alias("avg_wind"),
             _r1(F.max(T) - F.min(T)).alias("temp_range"),
         )
         .select("month", labels.season("month").alias("season"), "days", "avg_temp",
@@ -143,8 +143,8 @@ def pattern_distribution(gold: DataFrame) -> DataFrame:
     patterned = gold.select(T, P, labels.weather_pattern(T, P, "total_snow").alias("weather_pattern"))
     counted = patterned.groupBy("weather_pattern").agg(
         F.count(F.lit(1)).alias("occurrences"),
-        _r1(scaled_mean(T)).alias("avg_temp_for_pattern"),
-        _r1(scaled_mean(P)).alias("avg_precip_for_pattern"),
+        _r1(exact_mean(T)).alias("avg_temp_for_pattern"),
+        _r1(exact_mean(P)).alias("avg_precip_for_pattern"),
     )
     everything = Window.partitionBy()
     return counted.select(
@@ -159,7 +159,7 @@ def pattern_distribution(gold: DataFrame) -> DataFrame:
 def station_month_stats(gold: DataFrame) -> DataFrame:
     """Per (station, month): unrounded mean temperature and total precipitation."""
     return gold.groupBy("station", "month").agg(
-        scaled_mean(T).alias("monthly_avg_temp"),
+        exact_mean(T).alias("monthly_avg_temp"),
         F.sum(P).alias("monthly_total_precip"),
     )
 
@@ -219,18 +219,17 @@ def daily_precipitation(silver: DataFrame) -> DataFrame:
     )
 
 
-def temperature_bands(silver: DataFrame, ordered: bool = False) -> DataFrame:
-    """Per row: Hot / Moderate / Cold on the daily maximum (strict bounds).
+def temperature_bands(silver: DataFrame, ordered: bool = True) -> DataFrame:
+    """Per row: Hot / Moderate / Cold on the daily maximum (strict bounds), hottest first.
 
-    Silver rows have no unique key, so a global sort could put every row of
-    one hot (date, station) into one range partition; ordering (hottest
-    first) is therefore opt-in for this row-level output.
+    The other output columns break ties, so that the rows of one hot day or
+    station spread over several range partitions. ``ordered=False``: as they come.
     """
     out = silver.select(
         "date", "station", "tmax_celsius", "tmin_celsius",
         labels.temperature_band3("tmax_celsius").alias("temp_category"),
     )
-    return out.orderBy(F.col("tmax_celsius").desc_nulls_last(), "station", "date") if ordered else out
+    return out.orderBy(F.col("tmax_celsius").desc_nulls_last(), "station", "date", "tmin_celsius") if ordered else out
 
 
 def dataset_span(gold: DataFrame, approximate: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.cleaning import exact_mean
 
 T = "avg_temperature"
 P = "total_precipitation"
@@ -38,15 +39,9 @@ def change(c: str, w=None) -> Column:
     return F.col(c) - previous_value(c, w)
 
 
-def rolling_avg(c: str, rows: int = config.ROLLING_MEAN_ROWS, w=None, digits: int = config.TEMPERATURE_PRECISION) -> Column:
-    """Mean of this row and the ``rows - 1`` rows before it (short at the start).
-
-    Computed on the scaled integers of the fixed-precision gold values (see
-    :func:`stratus.functions.cleaning.scaled_mean`), so the frame sum is exact.
-    """
-    scale = float(10 ** digits)
-    frame = (w or station_window()).rowsBetween(-(rows - 1), Window.currentRow)
-    return F.avg(F.round(F.col(c) * F.lit(scale))).over(frame) / F.lit(scale)
+def rolling_avg(c: str, rows: int = config.ROLLING_MEAN_ROWS, w=None) -> Column:
+    """Mean of this row and the ``rows - 1`` rows before it (short at the start)."""
+    return exact_mean(c, (w or station_window()).rowsBetween(-(rows - 1), Window.currentRow))
 
 
 def rolling_sum(c: str, rows: int = config.ROLLING_SUM_ROWS, w=None) -> Column:

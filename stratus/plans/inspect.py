@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-                "PythonUDF")
+                "MapInArrow", "PythonUDF")
 
 
 def explain_string(df: DataFrame, mode: str = "formatted") -> str:
@@ -16,18 +14,6 @@ def explain_string(df: DataFrame, mode: str = "formatted") -> str:
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-def scan_count(df: DataFrame) -> int:
-    return len(re.findall(r"(?m)^\(\d+\) Scan ", explain_string(df)))
-
-
-def node_count(df: DataFrame, name: str) -> int:
-    return len(re.findall(rf"(?m)^\(\d+\) {name}\b", explain_string(df)))
-
-
-def read_schemas(df: DataFrame) -> list[str]:
-    return re.findall(r"ReadSchema: struct<(.*)>", explain_string(df))
-
-
 def uses_python(df: DataFrame) -> bool:
     text = explain_string(df, "extended")
     return any(n in text for n in PYTHON_NODES)

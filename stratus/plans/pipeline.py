@@ -1,13 +1,14 @@
 """End-to-end pipelines.
 
 ``transform`` runs bronze -> silver -> gold -> partitioned Parquet. By
-default, one exact aggregate over the typed bronze rows first yields every
-run metric (validation measures, bronze and silver stage statistics, the
-silver profile), then one job writes gold. That is two scans in total, and
-both results are exact when tasks are retried. ``metrics="observed"`` folds
-the metrics into the write job through ``Observation`` instead (one scan, but
-at-least-once counts under stage retries). The written row count is
-observed in the write stage, which is a result stage.
+default a CSV input is parsed once, into a columnar copy in the scratch
+folder; one exact aggregate over it yields every run metric (validation
+measures, bronze and silver stage statistics, the silver profile), then one
+job writes gold from it. Both results are exact when tasks are retried.
+``metrics="observed"`` folds the metrics into the write job through
+``Observation`` instead (no copy, one scan, but at-least-once counts under
+stage retries). The written row count is observed in the write stage, which
+is a result stage. Rows without a usable key can be written, with the reason.
 
 After the write, gold is read back from storage (which also cuts the
 lineage) and registered as a temp view.
@@ -16,7 +17,7 @@ lineage) and registered as a temp view.
 from __future__ import annotations
 
 import datetime as _dt
-import resource
+import os
 import time
 import zlib
 from dataclasses import dataclass, field
@@ -29,7 +30,8 @@ from ..config import DEFAULT_RULES, ValidationRules
 from ..operators import quality, run_metrics
 from ..operators.gold import daily_gold
 from ..operators.profile import observe_stage, observed_stage_rows, STAGE_STATS_SCHEMA
-from ..operators.silver import clean_observations
+from ..operators.silver import clean_observations, rejected_rows
+from ..session import remove_path, scratch_path
 from ..sources.bronze_csv import load_bronze_csv, write_landing_csv, landing_name, default_date_range, validate_iso_date
 from ..sources.generator import generate_observations, station_code
 from ..sources.parquet import read_parquet, write_bucketed_table, write_partitioned_parquet
@@ -47,6 +49,8 @@ class PipelineResult:
     view_count: int | None = None
     timings: dict = field(default_factory=dict)
     gold_by_station: DataFrame | None = None
+    rejected: DataFrame | None = None
+    run: DataFrame | None = None  # one row: seconds, MB now and at most, start and end
 
 
 def _verdict_from_measures(spark: SparkSession, bronze: DataFrame, values: dict,
@@ -67,8 +71,14 @@ def _verdict_from_measures(spark: SparkSession, bronze: DataFrame, values: dict,
     }
 
 
-def _peak_rss_mb() -> float:
-    return resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024.0
+def driver_memory_mb(spark: SparkSession) -> float:
+    """Memory that the driver holds now: this Python process (where /proc tells) and the JVM's used heap."""
+    python = 0
+    if os.path.exists("/proc/self/statm"):
+        with open("/proc/self/statm", encoding="ascii") as f:
+            python = int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    return (python + runtime.totalMemory() - runtime.freeMemory()) / 2**20
 
 
 def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
@@ -80,13 +90,15 @@ def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
               partition_cols: tuple[str, ...] | None = None,
               metrics: str = "exact",
               station_buckets: int | None = None,
-              reports_path: str | None = None) -> PipelineResult:
+              reports_path: str | None = None,
+              rejects_path: str | None = None) -> PipelineResult:
     """Landing CSV (path/glob) or bronze DataFrame -> validated gold Parquet.
 
     ``metrics="exact"`` (default): one aggregate over the typed bronze rows
     computes the verdict, bronze and silver stage statistics and the silver
-    profile (exact under task retries), then one job writes gold: two scans
-    in total. ``fail_on_invalid`` stops before the write at no extra cost.
+    profile (exact under task retries), then one job writes gold. A CSV source
+    is parsed once for both, into a Parquet copy that is deleted at the end.
+    ``fail_on_invalid`` stops before the write at no extra cost.
 
     ``metrics="observed"``: the same measures ride on the write job through
     ``Observation`` (one scan). Observed counts come from accumulators in a
@@ -100,8 +112,13 @@ def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
     if metrics not in ("exact", "observed"):
         raise ValueError(f"unknown metrics mode: {metrics!r}")
     started = time.time()
-    rss0 = _peak_rss_mb()
+    memory = [driver_memory_mb(spark)]
     bronze = load_bronze_csv(spark, source) if isinstance(source, str) else source
+    copy = None
+    if isinstance(source, str) and metrics == "exact":
+        copy = scratch_path(spark, "bronze")
+        bronze.write.parquet(copy)
+        bronze = spark.read.schema(config.BRONZE_SCHEMA).parquet(copy)
     gold_rows = Observation("gold_rows")
 
     if metrics == "exact":
@@ -160,11 +177,19 @@ def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
         by_station = write_bucketed_table(gold_back, path, table, station_buckets,
                                           "station", ("station", "date"))
 
+    rejected = None
+    if rejects_path:
+        rejected_rows(bronze).write.mode("overwrite").parquet(rejects_path)
+        rejected = read_parquet(spark, rejects_path)
+    if copy:
+        remove_path(spark, copy)
+
     ended = time.time()
+    memory.append(driver_memory_mb(spark))
     metrics_df = spark.createDataFrame(
         [
             ("processing_time_seconds", ended - started),
-            ("memory_used_mb", _peak_rss_mb() - rss0),
+            ("memory_used_mb", memory[-1] - memory[0]),
             ("quality_score", validation["quality_score"]),
             ("record_count", float(measured.get("row_count", 0) or 0)),
             ("gold_rows", float(view_count)),
@@ -176,7 +201,12 @@ def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
     result = PipelineResult(
         gold_path=output_path, gold=gold_back, validation=validation, stage_stats=stage_stats,
         profile=profile, metrics=metrics_df, alerts=alerts, view_count=view_count,
-        gold_by_station=by_station,
+        gold_by_station=by_station, rejected=rejected,
+        run=spark.createDataFrame(
+            [(ended - started, memory[-1] - memory[0], max(memory), _dt.datetime.fromtimestamp(started).isoformat(),
+              _dt.datetime.fromtimestamp(ended).isoformat())],
+            "processing_time_seconds double, memory_used_mb double, peak_memory_mb double, start_time string, "
+            "end_time string"),
         timings={"total": ended - started, "write": write_seconds,
                  "start_time": _dt.datetime.fromtimestamp(started).isoformat(),
                  "end_time": _dt.datetime.fromtimestamp(ended).isoformat()},
@@ -190,7 +220,7 @@ def save_reports(result: PipelineResult, path: str) -> None:
     """Run reports as small Parquet tables (one file each)."""
     base = path.rstrip("/")
     for name, df in (("stage_stats", result.stage_stats), ("profile", result.profile),
-                     ("metrics", result.metrics), ("alerts", result.alerts)):
+                     ("metrics", result.metrics), ("alerts", result.alerts), ("run", result.run)):
         df.coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
 
 
@@ -238,7 +268,7 @@ def ingest(spark: SparkSession, landing_dir: str, *, station_id: str = config.DE
 
 
 def run_full(spark: SparkSession, landing_dir: str, output_path: str, **kwargs) -> PipelineResult:
-    """Ingest, then transform everything in the landing folder."""
+    """Ingest, then transform the file just ingested."""
     ingest_kwargs = {k: kwargs.pop(k) for k in ("station_id", "start_date", "end_date", "seed") if k in kwargs}
     path = ingest(spark, landing_dir, **ingest_kwargs)
     return transform(spark, path, output_path, **kwargs)

@@ -9,7 +9,7 @@ checkpoint folder and return the read-back DataFrame.
 
 from __future__ import annotations
 
-import os
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators import profile, quality, reports, timeseries
 from ..operators.gold import AS_CODED, daily_gold
-from ..operators.silver import DROP_MISSING_TEMPS, clean_observations
-from ..session import scratch_path
+from ..operators.silver import AS_CODED_ROWS, DROP_MISSING_TEMPS, clean_observations, rejected_rows
+from ..session import remove_path, scratch_path
 from ..sources.bronze_csv import load_bronze_csv, write_landing_csv
 from ..sources.fixture import SMOKE_STATIONS, bronze_from_tables
 from ..sources.generator import generate_from_skeleton, skeleton_from_silver
-from ..sources.parquet import read_parquet, write_bucketed_table, write_partitioned_parquet
+from ..sources.parquet import read_parquet, write_partitioned_parquet
 from . import pipeline
+from .analytics import analytics_suite
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,43 +46,44 @@ class Layers:
         return daily_gold(self.silver(spark, sf_dir))
 
 
+def input_signature(spark: SparkSession, path: str) -> tuple:
+    """Number, size and a hash of the names, sizes and times of all files below ``path``.
+
+    The files are listed by Spark, so any store it reads will do, and nested
+    files count. Their contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return tuple(files.agg(
+        F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 class StoredLayers(Layers):
-    """Bronze, silver and gold written once as Parquet tables, then read by every report.
+    """Silver and gold written once as Parquet tables, then read by every report.
 
     This is the medallion shape: reports query the stored gold table (with
     partition pruning on year/month and pushdown on station) instead of
-    re-deriving it from raw rows. Tables live under the shared checkpoint
-    folder, so they survive executor loss and cut the lineage. The key
-    includes the application, the input directory, the station count and the
-    input file's size and modification time, so changed input is rebuilt.
+    re-deriving it from raw rows. Tables live under the shared scratch folder,
+    so they survive executor loss and cut the lineage. A table is used again
+    only for the same files: their listing is part of its key, and the table
+    of an older listing is deleted.
     """
 
-    _paths: dict = {}
-
-    def _key(self, spark: SparkSession, sf_dir: str, layer: str) -> tuple:
-        src = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-        try:
-            st = os.stat(src)
-            signature = (st.st_size, st.st_mtime_ns)
-        except OSError:
-            signature = None
-        return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, layer, signature)
+    _stored_tables: dict = {}
 
     def _stored(self, spark: SparkSession, sf_dir: str, layer: str, build) -> DataFrame:
-        key = self._key(spark, sf_dir, layer)
-        cached = self._paths.get(key)
-        if cached is None or not _exists(spark, cached[0]):
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, layer)
+        signature = input_signature(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+        known = self._stored_tables.get(key)
+        if known is None or known[0] != signature:
             path = scratch_path(spark, f"{layer}-{self.stations}")
             write_partitioned_parquet(build(spark, sf_dir), path)
-            # Keep the read-back DataFrame: its file index is listed once and
-            # reused by every report (the table is immutable once written).
-            cached = (path, read_parquet(spark, path))
-            self._paths[key] = cached
-        return cached[1]
-
-    def bronze(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        # raw strings kept as-is ('' stays '', NULL stays NULL), unpartitioned
-        return self._stored(spark, sf_dir, "bronze", super().bronze)
+            if known is not None:
+                remove_path(spark, known[1])
+            # The frame's file index is listed once and used by every report
+            # (the table does not change once written).
+            known = (signature, path, read_parquet(spark, path))
+            self._stored_tables[key] = known
+        return known[2]
 
     def silver(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self._stored(spark, sf_dir, "silver", super().silver)
@@ -89,35 +91,6 @@ class StoredLayers(Layers):
     def gold(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return self._stored(spark, sf_dir, "gold", super().gold)
 
-    def gold_by_station(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        """Gold bucketed by station and sorted by (station, date) for the time series.
-
-        Every per-station window reads this copy and needs no shuffle: the
-        bucketed scan already delivers rows hash-partitioned by station.
-        """
-        key = self._key(spark, sf_dir, "gold_by_station")
-        cached = self._paths.get(key)
-        if cached is None or not _exists(spark, cached[0]):
-            path = scratch_path(spark, f"gold-by-station-{self.stations}")
-            table = os.path.basename(path).replace("-", "_")
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            try:
-                frame = write_bucketed_table(self.gold(spark, sf_dir), path, table, buckets,
-                                             "station", ("station", "date"))
-            except Exception:  # noqa: BLE001 - e.g. a catalog that refuses new tables
-                # Same rows, same results: the windows then add one station shuffle.
-                return self.gold(spark, sf_dir)
-            cached = (path, frame)
-            self._paths[key] = cached
-        return cached[1]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
 
 def _generator_summary(silver: DataFrame, seed: int = 7) -> DataFrame:
     """Generate a synthetic series over each station's observed span and summarise it.
@@ -157,10 +130,10 @@ def _generator_summary(silver: DataFrame, seed: int = 7) -> DataFrame:
 
 def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN1",
                   stored: bool = True) -> dict[str, Query]:
-    """``stored=True``: checks and reports read bronze/silver/gold tables
-    written once (see :class:`StoredLayers`); the layer operators themselves
-    (``silver_*``, ``gold_daily``) and the pipeline always start from the raw
-    rows."""
+    """``stored=True``: reports read silver and gold tables written once per
+    input (see :class:`StoredLayers`); checks over bronze, the layer operators
+    themselves (``silver_*``, ``gold_daily``) and the pipeline always start
+    from the raw rows."""
     raw = Layers(stations)
     L = StoredLayers(stations) if stored else raw
     q: dict[str, Query] = {}
@@ -223,12 +196,25 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
         ("dataset_span", reports.dataset_span),
     ):
         q[name] = (lambda f: (lambda spark, sf: f(L.gold(spark, sf))))(fn)
-    # Per-station windows read the station-bucketed copy (no shuffle) when stored.
-    by_station = L.gold_by_station if stored else L.gold
-    q["station_timeseries"] = lambda spark, sf: timeseries.station_timeseries(
-        by_station(spark, sf), timeseries_station)
-    q["daily_change"] = lambda spark, sf: timeseries.daily_change(by_station(spark, sf))
-    q["rolling_metrics"] = lambda spark, sf: timeseries.rolling_metrics(by_station(spark, sf))
+    q["station_timeseries"] = lambda spark, sf: timeseries.station_timeseries(L.gold(spark, sf), timeseries_station)
+    q["daily_change"] = lambda spark, sf: timeseries.daily_change(L.gold(spark, sf))
+    q["rolling_metrics"] = lambda spark, sf: timeseries.rolling_metrics(L.gold(spark, sf))
+    q["first_match"] = lambda spark, sf: L.gold(spark, sf).where(
+        F.col("station") == timeseries_station).orderBy("date").limit(1)
+
+    def suite(spark, sf):
+        # the number of rows of every report of the suite over one gold table
+        parts = [df.agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("row_count"))
+                 for name, df in analytics_suite(L.gold(spark, sf), station=timeseries_station).items()]
+        return functools.reduce(DataFrame.union, parts)
+
+    def report_files(spark, sf):
+        base = scratch_path(spark, "reports")
+        pipeline.transform(spark, raw.bronze(spark, sf), scratch_path(spark, "reports-gold"), reports_path=base)
+        return spark.read.parquet(f"{base}/profile")
+
+    q["analytics_suite"] = suite
+    q["report_files"] = report_files
 
     # -- reports over silver -------------------------------------------------
     for name, fn in (
@@ -238,6 +224,8 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
         ("row_quality_labels", quality.row_quality_labels),
         ("column_profile", profile.column_profile),
         ("synthetic_observations", _generator_summary),
+        ("date_equality", lambda silver: silver.where(F.col("date") == "1995-06-17")),
+        ("null_outputs", lambda silver: silver.where(F.col("tavg_celsius").isNull())),
     ):
         q[name] = (lambda f: (lambda spark, sf: f(L.silver(spark, sf))))(fn)
 
@@ -248,6 +236,10 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
         ("date_check", quality.date_check),
         ("quality_score", quality.quality_score),
         ("threshold_alerts", quality.threshold_alerts),
+        ("rejected_rows", rejected_rows),
+        ("silver_as_coded", lambda bronze: clean_observations(bronze, on_missing=AS_CODED_ROWS)),
+        ("validate_only", lambda bronze: pipeline.validate_only(bronze.sparkSession, bronze)["validation_summary"]
+         .withColumn("issues", F.array_join("issues", "; "))),
     ):
         q[name] = (lambda f: (lambda spark, sf: f(L.bronze(spark, sf))))(fn)
     q["validation_summary"] = lambda spark, sf: quality.validation_summary(

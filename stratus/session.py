@@ -1,16 +1,15 @@
 """Session construction and the shared scratch location.
 
-On a cluster the scratch location is the shared folder named by
-``spark.checkpoint.dir``; it is read from the session and only set here when
-it is missing (local runs and tests).
+The scratch location is the shared folder named by ``spark.checkpoint.dir``.
+Only a local master may leave it unset (a folder beside the warehouse is used
+then); anywhere else that is an error, as executors share no local folder.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
+import contextlib
 import uuid
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -33,48 +32,37 @@ def get_session(app_name: str = "stratus", master: str | None = None, **extra_co
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared scratch folder; set beside the warehouse for an unset local session."""
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="stratus-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
-            pass
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's sources to the Python workers (once per application).
+_made: list[tuple[SparkSession, str]] = []
+
 
-    Needed where workers cannot import the package by themselves, for example
-    when the driver found it on a path of its own.
-    """
-    context = spark.sparkContext
-    if _shipped.get("to") == context.applicationId:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    folder = tempfile.mkdtemp(prefix="stratus-package-")  # read by the driver only, which serves it
-    archive = os.path.join(folder, "stratus_package.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for at, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(at, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
-    context.addPyFile(archive)
-    _shipped["to"] = context.applicationId
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared scratch folder, removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/stratus-{name}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark, path))
+    return path
 
 
-_shipped: dict[str, str] = {}
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    sep = "/" if "://" in root else os.sep
-    return f"{root}{sep}stratus-{name}-{uuid.uuid4().hex[:12]}"
+@atexit.register
+def _remove_made() -> None:
+    while _made:
+        spark, path = _made.pop()
+        with contextlib.suppress(Exception):  # the session may have been stopped before
+            if spark.sparkContext._jsc is not None:
+                remove_path(spark, path)

@@ -11,7 +11,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
-from .parallelism import with_min_partitions
 
 
 def load_bronze_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -19,13 +18,12 @@ def load_bronze_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     A missing path raises ``AnalysisException`` from Spark itself.
     """
-    scan = (
+    return (
         spark.read.option("header", "true")
         .option("mode", "PERMISSIVE")
         .schema(config.BRONZE_SCHEMA)
         .csv(path)
     )
-    return with_min_partitions(scan)
 
 
 def validate_iso_date(text: str) -> str:

@@ -5,9 +5,10 @@ transform incrementally: a file stream over the landing folder (fixed bronze
 schema, bounded files per trigger) is cleaned to silver, and each
 micro-batch
 
-1. writes its silver rows under ``silver/year=/month=/batch_id=`` with
-   dynamic partition overwrite, so a re-run of the same batch after a
-   failure replaces its own files instead of adding them twice;
+1. writes its silver rows under ``silver/year=/month=/file_key=`` with dynamic
+   partition overwrite. The key is a hash of the landing file's path, so that
+   reading a file again, in a retried batch or from a new checkpoint, replaces
+   that file's rows instead of adding them twice;
 2. recomputes gold only for the (year, month) partitions the batch touched,
    from all silver rows of those months, and replaces exactly those gold
    partitions (dynamic overwrite).
@@ -15,14 +16,13 @@ micro-batch
 No streaming state is kept: the daily aggregate of a month is always
 recomputed from its silver rows, so late files for an old day are handled
 the same way as new ones. The progress of the file source lives in the
-checkpoint folder (the shared ``spark.checkpoint.dir`` by default).
-
-Cost per micro-batch: one write of the batch's silver rows, plus one read of
-the silver rows of every month the batch touches (partition-pruned to those
-months) and a rewrite of those gold months. Gold is one row per station and
-day, much smaller than silver. When files arrive often for a large current
-month, size ``max_files_per_trigger`` or the trigger interval so that a batch
-carries enough new data to amortise the month re-read.
+checkpoint folder, ``<silver path>_checkpoint`` unless another is given.
+
+Cost per micro-batch: the batch is parsed once (kept until its rows are
+written and its months known), plus one read of the silver rows of every month
+the batch touches and a rewrite of those gold months. Many small batches into
+one large month re-read it each time: size ``max_files_per_trigger`` or the
+trigger interval so that a batch carries enough new rows.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import config
 from ..operators.gold import daily_gold
 from ..operators.silver import KEEP_NULL_TEMPS, clean_observations
-from ..session import scratch_path
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
@@ -57,16 +56,19 @@ def _month_filter(months: list[tuple[int, int]]):
 
 def make_batch_writer(spark: SparkSession, silver_path: str, gold_path: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = batch.withColumn("batch_id", F.lit(batch_id))
-        (staged.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year", "month", "batch_id")
-         .parquet(silver_path))
-        # The months this batch touched: at most one row per calendar month.
-        months = [(r["year"], r["month"]) for r in staged.select("year", "month").distinct().collect()]
+        kept = batch.persist()
+        try:
+            (kept.write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("year", "month", "file_key")
+             .parquet(silver_path))
+            # The months this batch touched: at most one row per calendar month.
+            months = [(r["year"], r["month"]) for r in kept.select("year", "month").distinct().collect()]
+        finally:
+            kept.unpersist()
         if not months:
             return
-        silver = spark.read.parquet(silver_path).where(_month_filter(months)).drop("batch_id")
+        silver = spark.read.parquet(silver_path).where(_month_filter(months)).drop("file_key")
         (daily_gold(silver).hint("rebalance", "year", "month")
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
@@ -82,11 +84,12 @@ def start_incremental_pipeline(spark: SparkSession, landing_dir: str, silver_pat
                                on_missing: str = KEEP_NULL_TEMPS,
                                max_files_per_trigger: int = 100) -> StreamingQuery:
     """Start the incremental pipeline; ``available_now`` processes what is there and stops."""
-    silver = clean_observations(landing_stream(spark, landing_dir, max_files_per_trigger),
-                                on_missing=on_missing)
+    landing = landing_stream(spark, landing_dir, max_files_per_trigger)
+    landing = landing.withColumn("file_key", F.xxhash64("_metadata.file_path"))
+    silver = clean_observations(landing, on_missing=on_missing, carry=("file_key",))
     writer = (
         silver.writeStream.foreachBatch(make_batch_writer(spark, silver_path, gold_path))
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint"))
+        .option("checkpointLocation", checkpoint or f"{silver_path.rstrip('/')}_checkpoint")
     )
     if available_now and processing_time is None:
         writer = writer.trigger(availableNow=True)

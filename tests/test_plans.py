@@ -98,11 +98,8 @@ def test_single_partition_exchange_only_on_small_aggregates(spark):
     assert tree.index("Window") < tree.index("HashAggregate")
 
 
-def test_time_series_on_bucketed_gold_needs_no_shuffle(spark):
+def test_time_series_on_gold_needs_one_station_exchange(spark):
     queries = build_queries()
-    for name in ("daily_change", "rolling_metrics", "station_timeseries"):
+    for name in ("daily_change", "rolling_metrics"):
         plan = plan_of(queries[name](spark, SF))
-        assert "Bucketed: true" in plan, name
-        assert nodes(plan, "Exchange") == 0, name
-    # the station predicate also prunes buckets
-    assert "SelectedBucketsCount: 1 out of" in plan_of(queries["station_timeseries"](spark, SF))
+        assert nodes(plan, "Exchange") == 1 and "hashpartitioning(station" in plan, name
\ No newline at end of file
