@@ -96,8 +96,9 @@ def compare_with_edits(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     document (an empty text is used) and is nobody's next; of rows that share a
     doc_id the smallest text counts as the next document.
     """
-    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"),
-                       F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    # an id that is long already stays as it is: a renamed one would hide that both sides are dealt out alike
+    doc_id = docs["doc_id"] if dict(docs.dtypes)["doc_id"] == "bigint" else docs["doc_id"].cast("long").alias("doc_id")
+    docs = docs.select(doc_id, F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     named = docs.where("doc_id is not null")  # read and dealt out by doc_id once, for both sides
     order = cut(successors(named.select(F.col("doc_id").alias("id")).distinct()))
     ranked = named.withColumn("rank_", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
