@@ -39,9 +39,9 @@ from .common import record_batches, to_bytes
 @dataclass(frozen=True)
 class Settings:
     tokenizer: str = "word_bpe_49k.json"
-    leaf: int = 1 << 15     # code points encoded in one go
+    leaf: int = 1 << 16     # code points encoded in one go
     words: bool = True      # white space separates and is dropped, so that words are encoded each by itself
-    memo: int = 300_000     # encoded words remembered by a task; forgotten together when full
+    memo: int = 1_000_000   # encoded words (some 200 bytes each) a worker process remembers; forgotten together when full
     window: int = 64        # first window on each side of a cut
     agree: int = 4          # tokens in a row that must agree
     batch: int = 128        # texts given to the library at a time
@@ -71,7 +71,9 @@ class WordCoder:
     """Texts to ids, little-endian 32-bit, by the library; words seen before are taken from memory."""
 
     def __init__(self, s: Settings):
-        self.tok, self.s, self.seen = tokenizer(s.tokenizer), s, {}
+        self.tok, self.s = tokenizer(s.tokenizer), s
+        self.seen = _seen.setdefault(s.tokenizer, {})  # of this worker process
+        self.mark = np.array(self.tok.encode(_MARK, add_special_tokens=False).ids, "<u4")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.s.words:
@@ -80,12 +82,31 @@ class WordCoder:
         if len(self.seen) > self.s.memo:
             self.seen.clear()
         new = list(set().union(*split).difference(self.seen))
-        got = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        self.seen.update((w, _packed(x.ids)) for w, x in zip(new, got, strict=True))
+        for i in range(0, len(new), 1000):
+            part = new[i:i + 1000]
+            self.seen.update(zip(part, self._encode_words(part), strict=True))
         find = self.seen.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
-
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """All words in one call, a mark between them; one by one if the marks cannot be told apart."""
+        n = len(self.mark)
+        if n and not any(_MARK in w for w in words):
+            line = f" {_MARK} ".join(words)
+            ids = np.array(self.tok.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            hit = np.ones(max(0, len(ids) - n + 1), bool)
+            for j, x in enumerate(self.mark):
+                hit &= ids[j:len(hit) + j] == x
+            at = np.flatnonzero(hit)
+            if len(at) == len(words) - 1:
+                raw = ids.tobytes()
+                starts, ends = [0, *(4 * (at + n)).tolist()], [*(4 * at).tolist(), len(raw)]
+                return [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+        return [_packed(x.ids) for x in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+
+
+_MARK = "\u00b6"
+_seen: dict[str, dict[str, bytes]] = {}
 _space = re.compile("[ \\t\\n\\r]+")
 
 

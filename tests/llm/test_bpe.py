@@ -21,7 +21,8 @@ def expected(text):
 def texts():
     rng = random.Random(4)
     pool = "abcdefgthnsr" * 4 + "éüßñЖ中文字🙂'’!?.,-0123456789"
-    yield from (None, "", " \t\n", "a", "It's THE cat's, isn't it?", "étude  café", "x y z\x1cw", "<|endoftext|> a<|startoftext|>b")
+    yield from (None, "", " \t\n", "a", "It's THE cat's, isn't it?", "étude  café", "x y z\x1cw", "<|endoftext|> a<|startoftext|>b",
+                "a \u00b6 b\u00b6c \u00b6", "\u0301 \u200b x\x00y \x07")
     for n in (40, 400, 3000):
         yield "".join(rng.choice(pool) for _ in range(n))            # without white space
         yield "".join(rng.choice(pool + "    \n") for _ in range(n))
