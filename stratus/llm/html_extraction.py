@@ -306,9 +306,10 @@ class Learner:
     def fit(self, pages: DataFrame) -> Learner:
         sequences = [events(p, MARKER) for p in labelled_pages()]
         opening = F.size(F.split(F.lower(pages["html"]), "<article")) - 1
-        chosen = pages.where((opening == 1) & (F.length(pages["html"]) <= self.longest)).select(
-            F.xxhash64(pages["html"]).alias("order"), pages["html"].alias("html")).orderBy("order").limit(self.sample)
-        for _, page in chosen.collect():
+        own = pages.where((opening == 1) & (F.length(pages["html"]) <= self.longest)).select(
+            F.xxhash64(pages["html"]).alias("order"), pages["html"].alias("html"))
+        chosen = [r["order"] for r in own.select("order").distinct().orderBy("order").limit(self.sample).collect()]
+        for _, page in own.where(F.col("order").isin(chosen)).groupBy("order").agg(F.min("html")).orderBy("order").collect():
             sequences.append(events(re.sub(r"(?i)<article", f"<article {MARKER}", page), MARKER))
         self.weights = learn(sequences)
         return self
