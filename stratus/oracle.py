@@ -81,6 +81,28 @@ GOLD_CTE = """gold AS (
 )"""
 
 
+# The generator's ranges, probabilities and seed; draw u[n] is five hex digits of the station-day's hash.
+GENERATED_CTE = """spans AS (SELECT station, MIN(date) AS a, MAX(date) AS b FROM silver GROUP BY station),
+days AS (SELECT station, CAST(UNNEST(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM spans),
+hashed AS (SELECT station, d, sha256(station || '|' || strftime(d, '%Y-%m-%d') || '|7') AS h FROM days),
+draws AS (SELECT station, d,
+    list_transform(range(0, 11), lambda i: CAST('0x' || substr(h, 5 * i + 1, 5) AS BIGINT) / 1048576::DOUBLE) AS u
+  FROM hashed),
+drawn AS (SELECT station, d, u, CAST(200 + FLOOR(u[1] * 151) AS INTEGER) AS tmax,
+    CASE WHEN u[3] < 0.3::DOUBLE THEN CAST(FLOOR(u[4] * 51) AS INTEGER) ELSE 0 END AS prcp,
+    CASE WHEN u[5] < 0.1::DOUBLE THEN CAST(FLOOR(u[6] * 21) AS INTEGER) ELSE 0 END AS snow
+  FROM draws),
+generated AS (SELECT strftime(d, '%Y-%m-%d') AS "DATE", station AS "STATION",
+    CASE WHEN u[9] < 0.05::DOUBLE THEN '' ELSE CAST(tmax AS VARCHAR) END AS "TMAX",
+    CASE WHEN u[10] < 0.05::DOUBLE THEN ''
+         ELSE CAST(CAST(100 + FLOOR(u[2] * (tmax - 50 - 100 + 1)) AS INTEGER) AS VARCHAR) END AS "TMIN",
+    CASE WHEN u[11] < 0.02::DOUBLE THEN '' ELSE CAST(prcp AS VARCHAR) END AS "PRCP",
+    CAST(snow AS VARCHAR) AS "SNOW",
+    CASE WHEN snow > 0 THEN CAST(CAST(FLOOR(u[7] * 101) AS INTEGER) AS VARCHAR) ELSE '0' END AS "SNWD",
+    CAST(CAST(10 + FLOOR(u[8] * 191) AS INTEGER) AS VARCHAR) AS "AWND"
+  FROM drawn)"""
+
+
 def with_layers(body: str, stations: int = 10, layers: str = "gold") -> str:
     ctes = [bronze_cte(stations)]
     if layers in ("silver", "gold"):
@@ -370,6 +392,12 @@ FROM (
     q["synthetic_observations"] = s("""SELECT station, date_diff('day', MIN(date), MAX(date)) + 1 AS days,
   MIN(date) AS first_date, MAX(date) AS last_date, CAST(0 AS BIGINT) AS out_of_range
 FROM silver GROUP BY station""")
+    q["synthetic_values"] = f"WITH {bronze_cte(stations)},\n{SILVER_CTE},\n{GENERATED_CTE}\nSELECT * FROM generated"
+    q["ingest_and_transform"] = f"""WITH landed AS ({q["synthetic_values"]}),
+bronze AS (SELECT * FROM landed),
+{SILVER_CTE},
+{GOLD_CTE}
+SELECT * FROM gold"""
     q["rejected_rows"] = b("""SELECT * FROM (SELECT *, concat_ws('; ',
   CASE WHEN "DATE" IS NULL OR "DATE" = '' THEN 'DATE missing'
        WHEN TRY_STRPTIME("DATE", '%Y-%m-%d') IS NULL THEN 'DATE not a calendar day' END,

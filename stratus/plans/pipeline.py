@@ -33,7 +33,7 @@ from ..operators.profile import observe_stage, observed_stage_rows, STAGE_STATS_
 from ..operators.silver import clean_observations, rejected_rows
 from ..session import remove_path, scratch_path
 from ..sources.bronze_csv import load_bronze_csv, write_landing_csv, landing_name, default_date_range, validate_iso_date
-from ..sources.generator import generate_observations, station_code
+from ..sources.generator import generate_from_skeleton, generate_observations, station_code
 from ..sources.parquet import read_parquet, write_bucketed_table, write_partitioned_parquet
 
 
@@ -255,8 +255,12 @@ def render_run_report(result: PipelineResult) -> str:
 
 
 def ingest(spark: SparkSession, landing_dir: str, *, station_id: str = config.DEFAULT_STATION_ID,
-           start_date: str | None = None, end_date: str | None = None, seed: int = 42) -> str:
-    """Generate observations for a station and date range into the landing folder."""
+           start_date: str | None = None, end_date: str | None = None, seed: int = 42,
+           spans: DataFrame | None = None) -> str:
+    """Generate observations into the landing folder: for a station and date range, or for
+    every row ``(station, start_date, end_date)`` of ``spans``."""
+    if spans is not None:
+        return write_landing_csv(generate_from_skeleton(spans, seed), f"{landing_dir.rstrip('/')}/observations")
     if not start_date or not end_date:
         d_start, d_end = default_date_range()
         start_date, end_date = start_date or d_start, end_date or d_end
@@ -269,7 +273,7 @@ def ingest(spark: SparkSession, landing_dir: str, *, station_id: str = config.DE
 
 def run_full(spark: SparkSession, landing_dir: str, output_path: str, **kwargs) -> PipelineResult:
     """Ingest, then transform the file just ingested."""
-    ingest_kwargs = {k: kwargs.pop(k) for k in ("station_id", "start_date", "end_date", "seed") if k in kwargs}
+    ingest_kwargs = {k: kwargs.pop(k) for k in ("station_id", "start_date", "end_date", "seed", "spans") if k in kwargs}
     path = ingest(spark, landing_dir, **ingest_kwargs)
     return transform(spark, path, output_path, **kwargs)
 

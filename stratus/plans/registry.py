@@ -92,13 +92,21 @@ class StoredLayers(Layers):
         return self._stored(spark, sf_dir, "gold", super().gold)
 
 
-def _generator_summary(silver: DataFrame, seed: int = 7) -> DataFrame:
+GENERATOR_SEED = 7
+
+
+def _generated(silver: DataFrame) -> DataFrame:
+    """Generated bronze rows for every day of each station's observed span."""
+    return generate_from_skeleton(skeleton_from_silver(silver), GENERATOR_SEED)
+
+
+def _generator_summary(silver: DataFrame) -> DataFrame:
     """Generate a synthetic series over each station's observed span and summarise it.
 
     ``out_of_range`` counts generated values outside the generator's bounds
     (always 0 for a correct generator); blanks are random and not counted.
     """
-    gen = generate_from_skeleton(skeleton_from_silver(silver), seed)
+    gen = _generated(silver)
 
     def num(c):
         return F.col(c).try_cast("int")
@@ -162,6 +170,12 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
         result = pipeline.transform(spark, landing, scratch_path(spark, "pipeline-gold"))
         return result.gold
 
+    def ingest_and_transform(spark, sf):
+        # generate a landing file over every station's observed span, then run the pipeline on it
+        return pipeline.run_full(
+            spark, scratch_path(spark, "ingest-landing"), scratch_path(spark, "ingest-gold"),
+            spans=skeleton_from_silver(L.silver(spark, sf)), seed=GENERATOR_SEED).gold
+
     def gold_view_count(spark, sf):
         L.gold(spark, sf).createOrReplaceTempView(config.DEFAULT_VIEW_NAME)
         return spark.sql(f"SELECT COUNT(*) AS count FROM {config.DEFAULT_VIEW_NAME}")
@@ -175,6 +189,7 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
     q["gold_parquet_roundtrip"] = gold_parquet_roundtrip
     q["gold_idempotent"] = gold_idempotent
     q["full_pipeline"] = full_pipeline
+    q["ingest_and_transform"] = ingest_and_transform
     q["gold_view_count"] = gold_view_count
     q["distinct_months"] = lambda spark, sf: reports.distinct_months(L.gold(spark, sf))
 
@@ -224,6 +239,7 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
         ("row_quality_labels", quality.row_quality_labels),
         ("column_profile", profile.column_profile),
         ("synthetic_observations", _generator_summary),
+        ("synthetic_values", _generated),
         ("date_equality", lambda silver: silver.where(F.col("date") == "1995-06-17")),
         ("null_outputs", lambda silver: silver.where(F.col("tavg_celsius").isNull())),
     ):

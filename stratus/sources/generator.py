@@ -4,11 +4,12 @@ Rows are produced on the executors: a (station, start, end) skeleton is
 exploded into one row per day with ``sequence``. Nothing is built in a
 driver loop, so a long range or many stations scale with the cluster.
 
-Random values are counter-based: each draw is ``xxhash64(station, day, seed,
-draw)`` mapped to [0, 1). A station-day therefore gets the same values
-whatever the partitioning, and a task recomputed after an executor loss
-reproduces exactly the rows it produced before (a positional ``rand`` after a
-shuffle would not).
+Random values are counter-based: each station-day has one SHA-256 of
+``station|yyyy-MM-dd|seed``, and every draw is five of its hex digits mapped to
+[0, 1). A station-day therefore gets the same values whatever the partitioning
+(and in any engine that has SHA-256), and a task recomputed after an executor
+loss reproduces exactly the rows it produced before (a positional ``rand``
+after a shuffle would not).
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ def station_code(station_id: str) -> str:
     return station_id.rsplit(":", 1)[-1]
 
 
-_MANTISSA = (1 << 53) - 1
+_DRAW_DIGITS = 5  # hex digits of a draw; the 64 digits of a hash give 12 draws
 
 
-def _draw(seed: int, n: int) -> Column:
-    """Uniform double in [0, 1) keyed by (station, day, seed, draw number)."""
-    h = F.xxhash64(F.col("station"), F.col("d"), F.lit(seed), F.lit(n))
-    return h.bitwiseAND(F.lit(_MANTISSA)).cast("double") / F.lit(float(1 << 53))
+def _draw(n: int) -> Column:
+    """Uniform double in [0, 1): the n-th draw (from 1) of the station-day's hash ``h``."""
+    digits = F.substring("h", _DRAW_DIGITS * (n - 1) + 1, _DRAW_DIGITS)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(16 ** _DRAW_DIGITS))
 
 
 def _uniform_int(low: int | Column, high: int | Column, u: Column) -> Column:
@@ -50,20 +51,22 @@ def generate_from_skeleton(skeleton: DataFrame, seed: int = 42) -> DataFrame:
         F.explode(F.sequence(F.col("start_date"), F.col("end_date"),
                              F.expr("INTERVAL 1 DAY"))).alias("d"),
     )
+    key = F.concat_ws("|", "station", F.date_format("d", "yyyy-MM-dd"), F.lit(str(seed)))
+    days = days.withColumn("h", F.sha2(key, 256))
     tmax_lo, tmax_hi = config.GEN_TMAX_RANGE
     values = days.select(
         "station", "d",
-        _uniform_int(tmax_lo, tmax_hi, _draw(seed, 1)).alias("tmax"),
-        _draw(seed, 2).alias("u_tmin"),
-        F.when(_draw(seed, 3) < config.GEN_PRCP_PROBABILITY,
-               _uniform_int(*config.GEN_PRCP_RANGE, _draw(seed, 4))).otherwise(0).alias("prcp"),
-        F.when(_draw(seed, 5) < config.GEN_SNOW_PROBABILITY,
-               _uniform_int(*config.GEN_SNOW_RANGE, _draw(seed, 6))).otherwise(0).alias("snow"),
-        _draw(seed, 7).alias("u_snwd"),
-        _uniform_int(*config.GEN_AWND_RANGE, _draw(seed, 8)).alias("awnd"),
-        _draw(seed, 9).alias("b_tmax"),
-        _draw(seed, 10).alias("b_tmin"),
-        _draw(seed, 11).alias("b_prcp"),
+        _uniform_int(tmax_lo, tmax_hi, _draw(1)).alias("tmax"),
+        _draw(2).alias("u_tmin"),
+        F.when(_draw(3) < config.GEN_PRCP_PROBABILITY,
+               _uniform_int(*config.GEN_PRCP_RANGE, _draw(4))).otherwise(0).alias("prcp"),
+        F.when(_draw(5) < config.GEN_SNOW_PROBABILITY,
+               _uniform_int(*config.GEN_SNOW_RANGE, _draw(6))).otherwise(0).alias("snow"),
+        _draw(7).alias("u_snwd"),
+        _uniform_int(*config.GEN_AWND_RANGE, _draw(8)).alias("awnd"),
+        _draw(9).alias("b_tmax"),
+        _draw(10).alias("b_tmin"),
+        _draw(11).alias("b_prcp"),
     )
     tmin_hi = F.col("tmax") - F.lit(config.GEN_TMIN_GAP)
     tmin = (F.lit(config.GEN_TMIN_LOW)
