@@ -48,9 +48,9 @@ def to_bytes(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def word_slices(text: str) -> Iterator[list[bytes]]:
-    """Words of ``text`` with A-Z lower-cased, a bounded number of bytes at a time."""
-    data = to_bytes(text).lower()
+def word_slices(text: str, lower: bool = True) -> Iterator[list[bytes]]:
+    """Words of ``text`` (A-Z lower-cased, or as they stand), a bounded number of bytes at a time."""
+    data = to_bytes(text).lower() if lower else to_bytes(text)
     start, size = 0, len(data)
     while start < size:
         end = start + SLICE_BYTES

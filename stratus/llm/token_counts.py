@@ -6,10 +6,11 @@ it pops, both worked out once per worker process, breadth first. A word is then
 once, left to right, and its number of greedy longest-match pieces is the sum
 of the popped counts; no piece is built and no position is read twice.
 
-Words are runs of characters other than space, tab, \\n, \\v, \\f, \\r. A word
-that cannot be split into pieces counts as one unknown token. The vocabulary
-is that of a sentencepiece file: a piece with a leading mark starts a word, one
-without continues it.
+Words are runs of characters other than space, tab, \\n, \\v, \\f, \\r, in the
+case in which they stand, as the vocabulary is cased. A word that cannot be
+split into pieces counts as one unknown token. The vocabulary is that of a
+sentencepiece file: a piece with a leading mark starts a word, one without
+continues it.
 
 Defined results: null or empty text has zero counts; repeated rows are counted
 each for itself; a word of any length is read whole. Other columns are not read.
@@ -122,7 +123,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFra
             for batch in batches:
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     words = tokens = unknown = 0
-                    for part in word_slices(text.as_py() or ""):
+                    for part in word_slices(text.as_py() or "", lower=False):
                         words += len(part)
                         for word in part:
                             n = memo.get(word)

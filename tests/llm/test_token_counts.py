@@ -2,7 +2,7 @@ import random
 
 from stratus.llm.token_counts import automaton, build, token_counts
 
-from .conftest import words
+from .conftest import WORD, words
 
 
 def greedy(word, initial, following):
@@ -46,3 +46,18 @@ def test_query_equals_greedy_matching_with_the_real_vocabulary(documents):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert token_counts(documents([])).count() == 0
     assert automaton("piece_bpe_32k.model").count("the") == 1
+
+
+def test_words_are_counted_in_their_own_case(documents):
+    import public_tokenizers
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i))]
+    initial = {p[1:] for p in pieces if p[0] == "▁" and len(p) > 1}
+    following = {p for p in pieces if p[0] != "▁"}
+    texts = ["UNBELIEVABLE", "unbelievable", "The NASA Theatre, McDonald's\x0bABLE able", "ÉCLAIR iPhone"]
+    for r in token_counts(documents(list(enumerate(texts)))).collect():
+        counts = [greedy(w, initial, following) for w in WORD.findall(texts[r.doc_id])]
+        assert (r.n_words, r.n_tokens, r.n_unknown) == (
+            len(counts), sum(max(c, 1) for c in counts), sum(c < 0 for c in counts)), texts[r.doc_id]
+    assert automaton("piece_bpe_32k.model").count("UNBELIEVABLE") != automaton("piece_bpe_32k.model").count("unbelievable")
