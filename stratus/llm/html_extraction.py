@@ -12,10 +12,11 @@ The region is widened to whole blocks, and to its whole ``article`` or ``main``
 element if it lies in one. Blocks of menus, headers, footers, sidebars,
 notices, adverts, forms and comments inside it are left out. Character
 references are decoded, white space in a block becomes one space, blocks are
-joined by a line feed.
+joined by a line feed. The text of formulas (``math``) is text.
 
 Defined results: null or empty html and pages without words give an empty text;
-unclosed tags, comments and scripts end with the page. Rows are read each for
+unclosed comments, scripts, styles, templates and text areas end with the page,
+other unclosed elements are read on. Rows are read each for
 itself; other columns are not read.
 """
 
@@ -41,7 +42,9 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset(
     "article aside body details dialog div dl fieldset figure footer form head header html main menu nav ol p section "
     "table td th tr ul li a h1 h2 h3 h4 h5 h6 title".split())
-DROPPED = "script|style|noscript|template|textarea|select|button|svg|math|iframe|object|canvas|audio|video"
+DROPPED = frozenset(
+    "script style noscript template textarea select button svg iframe object canvas audio video".split())
+TO_END = frozenset("script style template textarea".split())  # these end with the page if nothing closes them
 UNWANTED = frozenset("nav aside footer form menu dialog head title fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HINTS = frozenset(
@@ -58,11 +61,11 @@ EXCUSES = frozenset("has with no without".split())
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)"
     rf"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<(?P<raw>{DROPPED})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:_-]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:_-]*)[^>]*(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+_RAW = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in DROPPED}
 _HINT_ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -116,12 +119,36 @@ def _unwanted(name: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Comments, tags and runs of text in order; of a dropped element neither tags nor content.
+
+    A dropped element that nothing closes is an ordinary tag, but for those of TO_END. What has no closing
+    tag after one place has none after a later one, so it is looked for once.
+    """
+    at, size, unclosed = 0, len(page), set()
+    while at < size:
+        m = _TOKEN.match(page, at)
+        at = m.end()
+        name = (m["name"] or m["name2"] or "").lower()
+        if name in DROPPED and not (m["close"] or m["close2"]):
+            if name == "svg" and (m["attrs"] or "").endswith("/"):
+                continue
+            closing = None if name in unclosed else _RAW[name].search(page, at)
+            if closing:
+                at = closing.end()
+                continue
+            if name in TO_END:
+                return
+            unclosed.add(name)
+        yield m
+
+
 def events(page: str, marker: str | None = None) -> list[Event]:
     """The page's tags and word runs in order."""
     out: list[Event] = []
     stack: list[tuple[str, bool, int, bool]] = []  # name, unwanted, scope, marked
     block = scopes = 0
-    for m in _TOKEN.finditer(page):
+    for m in _tokens(page):
         top = stack[-1] if stack else ("", False, 0, marker is None)
         text = m["text"]
         if text is not None:

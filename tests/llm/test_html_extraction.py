@@ -63,6 +63,22 @@ def test_long_and_unclosed_markup_is_read_in_linear_time():
     h.extract("<!--" * 3000 + "<b" * 3000, WEIGHTS)
 
 
+@pytest.mark.parametrize("tag", ['<svg class="i"/>', "<video-player></video-player>", "<select-box>", "<button-group id='a'/>",
+                                 "<svg viewBox='0 0 1 1'><path d='M0'/><text>no</text></svg>", "<button>", "<object>",
+                                 "<script>no</script>", "<SELECT><option>no</SELECT >", "<script a='x>no</script>", "<svg\n/>"])
+def test_dropped_elements_do_not_take_the_rest_of_the_page(tag):
+    page = f"<body><article><p>first words here</p>{tag}<p>rest of the page</p></article></body>"
+    assert h.extract(page, WEIGHTS) == "first words here\nrest of the page"
+
+
+def test_formulas_are_text_and_open_scripts_end_with_the_page():
+    assert h.extract("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for all</p></article>",
+                     WEIGHTS) == "so x=2 holds for all"
+    for name in ("script", "style", "textarea", "template"):
+        assert h.extract(f"<article><p>first words here</p><{name} a='>'>no</p></article>", WEIGHTS) == "first words here"
+    assert h.extract("<svg><button>" * 30_000 + "<p>last words here", WEIGHTS) == "last words here"
+
+
 def test_held_out_template_pages():
     right = 0
     for page in h.labelled_pages(60, seed=99):
