@@ -10,14 +10,17 @@ pages whose own markup has exactly one ``article`` element may be added.
 
 The region is widened to whole blocks, and to its whole ``article`` or ``main``
 element if it lies in one. Blocks of menus, headers, footers, sidebars,
-notices, adverts, forms and comments inside it are left out. Character
-references are decoded, white space in a block becomes one space, blocks are
-joined by a line feed. The text of formulas (``math``) is text.
+notices, adverts, forms and comments inside it are left out. Inside an article
+and of a section, a class or id tells such a block only by its whole name (all
+of its words are hints or words of layout); ids of headings, paragraphs, cells
+and list items, ids that may be subjects of the text and bylines tell nothing.
+Character references are decoded, white space in a block becomes one space,
+blocks are joined by a line feed. The text of formulas (``math``) is text.
 
 Defined results: null or empty html and pages without words give an empty text;
 unclosed comments, scripts, styles, templates and text areas end with the page,
-other unclosed elements are read on. Rows are read each for
-itself; other columns are not read.
+other unclosed elements are read on. Rows are read each for itself; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -55,6 +58,18 @@ HINTS = frozenset(
     "skip social sponsor sponsored subscribe subscription teaser teasers toolbar topbar widget widgets alert alertbox "
     "search searchbox complementary contentinfo alertdialog".split())
 ARTICLE_HINTS = frozenset("comment comments reply teaser related promo ad sponsored".split())
+#: Hints that are also subjects of text: as an id inside an article they need a second sign, a class or role.
+SUBJECTS = frozenset(
+    "alert alertbox banner banners byline consent cookie cookies copyright discussion feedback legal menu modal navigation "
+    "notice notices notification overlay recommendations related response responses search sharing share skip social "
+    "sponsor sponsors subscription teaser teasers widget widgets".split())
+#: Words that stand beside hints in the names of page parts; a name of hints and these only is a whole match.
+LAYOUT = frozenset(
+    "area article articles bar block bottom box button buttons card cards center col column container content count desktop "
+    "entry first fixed float floating footer form global grid group head header icon icons inline inner item items large last "
+    "left link links list main media medium meta mobile more module outer page panel post posts primary region right row "
+    "secondary section site slot small stories story text thread title top unit wrap wrapper zone".split())
+TEXTUAL = frozenset("p li td th tr h1 h2 h3 h4 h5 h6".split())
 HEADER_HINTS = frozenset("header banner masthead topbar".split())
 EXCUSES = frozenset("has with no without".split())
 
@@ -66,7 +81,8 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _RAW = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in DROPPED}
-_HINT_ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HINT_ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ARTICLE_ROLE = re.compile(r"""(?<![\w-])role\s*=\s*["']?(?:main|article)\b""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -106,12 +122,21 @@ def _unwanted(name: str, attrs: str, in_article: bool) -> bool:
         return False
     if _HIDDEN.search(attrs):
         return True
-    for values in _HINT_ATTR.findall(attrs):
+    for kind, *values in _HINT_ATTR.findall(attrs):
+        kind = kind.lower()
+        if kind == "id" and (name in TEXTUAL or name == "a"):
+            continue  # often made from the text
         for value in "".join(values).split():
             parts = {p.lower() for p in _PART.findall(value)}
             if parts & EXCUSES:
                 continue
             found = parts & (ARTICLE_HINTS if name == "article" else HINTS)
+            if in_article or name in ("article", "section"):
+                if not parts <= HINTS | LAYOUT:
+                    continue
+                found -= {"byline"}
+                if kind == "id" or (kind == "class" and name in TEXTUAL):
+                    found -= SUBJECTS
             if found - HEADER_HINTS or (found and not in_article):
                 return True
             if "header" in parts and not in_article and name != "article":
@@ -146,10 +171,10 @@ def _tokens(page: str) -> Iterator[re.Match]:
 def events(page: str, marker: str | None = None) -> list[Event]:
     """The page's tags and word runs in order."""
     out: list[Event] = []
-    stack: list[tuple[str, bool, int, bool]] = []  # name, unwanted, scope, marked
+    stack: list[tuple[str, bool, int, bool, bool]] = []  # name, unwanted, scope, marked, article by its role
     block = scopes = 0
     for m in _tokens(page):
-        top = stack[-1] if stack else ("", False, 0, marker is None)
+        top = stack[-1] if stack else ("", False, 0, marker is None, False)
         text = m["text"]
         if text is not None:
             text = html.unescape(text)
@@ -187,14 +212,14 @@ def events(page: str, marker: str | None = None) -> list[Event]:
             elif name not in ("html", "head", "title"):
                 while stack and stack[-1][0] in ("p", "a", "title", "head"):
                     stack.pop()
-            top = stack[-1] if stack else ("", False, 0, marker is None)
-            in_article = any(x[0] in ("article", "main") for x in stack)
+            top = stack[-1] if stack else ("", False, 0, marker is None, False)
+            in_article = any(x[0] in ("article", "main") or x[4] for x in stack)
             scope = top[2]
             if name in ("article", "main"):
                 scopes += 1
                 scope = scopes if not top[2] or name == "article" else top[2]
             stack.append((name, top[1] or _unwanted(name, attrs, in_article), scope,
-                          top[3] or (marker is not None and marker in attrs)))
+                          top[3] or (marker is not None and marker in attrs), bool(_ARTICLE_ROLE.search(attrs))))
             top = stack[-1]
         out.append(Event(TAG_FEATURES.get(name, "tag:other"), 0, "", block, top[2], top[1], top[3]))
         if close and name in CONTAINERS:

@@ -79,6 +79,32 @@ def test_formulas_are_text_and_open_scripts_end_with_the_page():
     assert h.extract("<svg><button>" * 30_000 + "<p>last words here", WEIGHTS) == "last words here"
 
 
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", '<div role="main">{}</div>'])
+@pytest.mark.parametrize("part", [
+    '<section id="social-history">{}</section>', '<section id="discussion">{}</section>', '<h2 id="related-work">{}</h2>',
+    '<h2 id="search-algorithms">{}</h2>', '<p class="byline">{}</p>', '<li id="comment">{}</li>', '<p class="legal">{}</p>',
+    '<div class="legal-history" data-id="ad">{}</div>', '<table><tr id="nav"><td id="footer">{}</td></tr></table>',
+    '<article id="ad-hoc-networks">{}</article>', '<section id="cookies">{}</section>'])
+def test_text_with_a_hint_in_its_name_stays_in_an_article(wrap, part):
+    page = wrap.format("<p>first words of it</p>" + part.format("words in between") + "<p>last words of it</p>")
+    assert h.extract(f"<body>{page}</body>", WEIGHTS) == "first words of it\nwords in between\nlast words of it"
+
+
+def test_sections_and_headings_of_an_article_without_an_element():
+    page = '<div class="content"><p>first words</p><section id="social-history"><h2 id="legal">two</h2><p>more words</p></section></div>'
+    assert h.extract(f"<body>{page}</body>", WEIGHTS) == "first words\ntwo\nmore words"
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="ad">{}</div>', '<div class="ad-slot-12">{}</div>', '<section class="related-posts">{}</section>',
+    '<div id="sidebar-left">{}</div>', '<div class="socialMedia">{}</div>', '<section id="comments">{}</section>',
+    '<div role="search">{}</div>', '<li class="comment">{}</li>', '<div id="related" class="related">{}</div>',
+    '<p class="ad">{}</p>', "<aside>{}</aside>", '<article class="comment" id="comment-3">{}</article>'])
+def test_parts_that_are_no_text_go_inside_an_article(part):
+    page = "<article><p>first words of it</p>" + part.format("words in between") + "<p>last words of it</p></article>"
+    assert h.extract(f"<body>{page}</body>", WEIGHTS) == "first words of it\nlast words of it"
+
+
 def test_held_out_template_pages():
     right = 0
     for page in h.labelled_pages(60, seed=99):
