@@ -1,14 +1,15 @@
 """Winnowed document fingerprints in column expressions.
 
-Units are runs of up to ``unit`` characters without white space, lower-cased
-(a long unspaced text still gives many units). Every run of ``k`` units is
+Units are the runs of up to ``unit`` characters without white space and the
+single characters of longer runs, lower-cased, so that a unit does not depend
+on where it stands and unspaced text is matched as well. Every run of ``k`` units is
 hashed; of each window of ``window`` consecutive hashes the least is kept, the
 rightmost of equal ones. Two texts that share ``window + k - 1`` units in a
 row share a fingerprint entry; positions are kept, so the match can be placed.
 
 A hash (33 bits) and its position (30 bits) are packed into one long, the
 position counted downwards, so that ``array_min`` breaks ties to the right.
-A text has fewer than 2**30 units, as a column value is limited to 2 GB.
+A text has fewer than 2**30 units, as an array of longs is limited to 2 GB.
 
 Defined results: null text counts as empty; an empty text has an empty
 fingerprint; a text of fewer than k units has one entry; two empty
@@ -33,13 +34,14 @@ _HASHES = (1 << 33) - 1
 @dataclass(frozen=True)
 class Settings:
     k: int = 5
-    window: int = 20
+    window: int = 4
     unit: int = 12
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, s: Settings = Settings()) -> DataFrame:
     """``df`` plus the packed fingerprint (array of long) of column ``text`` as column ``out``."""
-    units = F.regexp_extract_all(F.lower(text), F.lit(rf"[^\x20\x09-\x0D]{{1,{s.unit}}}"), F.lit(0))
+    run = r"[^\x20\x09-\x0D]"
+    units = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<!{run}){run}{{1,{s.unit}}}+(?!{run})|{run}"), F.lit(0))
     df = df.withColumn(out, F.transform(units, lambda u: F.xxhash64(u)))
     none = F.array().cast("array<bigint>")
 

@@ -106,6 +106,27 @@ def test_fingerprint_equals_brute_force_winnowing(spark):
     assert all(b - a <= s.window for a, b in zip(places, places[1:]))  # no match of window + k - 1 units is missed
 
 
+def test_shared_parts_of_short_and_of_unspaced_texts_are_found(spark):
+    rng = random.Random(4)
+    cjk = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000))
+    words = [f"w{i}" for i in range(16)]
+    pairs = [(cjk, "\u4e2d" + cjk), (cjk, cjk[:1500] + "\U0001F642" + cjk[1500:]),
+             (" ".join(words), " ".join(words[:8] + [f"x{i}" for i in range(8)])),  # eight units in a row
+             ("an " + "abcdefghijklm" * 40, "an " + "x" + "abcdefghijklm" * 40)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for side in "ab":
+        df = winnowing.with_fingerprint(df, side, f"{side}_").withColumn(f"{side}_", winnowing.hashes(f"{side}_"))
+    got = [r.x for r in df.select(winnowing.likeness("a_", "b_").alias("x")).collect()]
+    assert got[0] > 0.95 and got[1] > 0.95 and got[2] > 0 and got[3] > 0.5
+
+
+def test_units_are_short_runs_and_characters_of_long_runs(spark):
+    s = winnowing.Settings(k=1, window=1)
+    df = spark.createDataFrame([("Ab " + "q" * 12 + "\t" + "abcdefghijklm" + "\x0bx",)], "text string")
+    got = winnowing.with_fingerprint(df, "text", "fp", s).select(winnowing.written("fp")).first()[0]
+    assert len(got.split(",")) == 2 + 13 + 1
+
+
 def test_fingerprint_edge_rows(documents):
     docs = documents([(1, "a b"), (1, "c d"), (None, "e f g"), (None, None)])
     got = winnowing.compare_with_edits(docs).collect()
