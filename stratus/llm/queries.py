@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, html_extraction, lm_scoring, minhash_dedup, mixing, quality_rules, span_dedup
+from . import bpe, chat_format, chat_repair, cover_tree, hard_negatives, html_extraction, lm_scoring, minhash_dedup, mixing
+from . import quality_rules, span_dedup
 from . import token_counts as pieces
 from . import winnowing
 from .common import table
@@ -55,6 +56,18 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).withColumnRenamed("copy_no_", "copy_no")
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": html_main_text,
@@ -67,6 +80,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": substring_dedup,
         "op9_lm_scoring": lm_scores,
         "op10_source_mixing": source_mixing,
+        "op11_embedding_near_dedup": embedding_near_dedup,
+        "op12_conversation_repair": conversation_repair,
+        "op13_hard_negatives": hard_negative_rows,
     }
 
 
@@ -75,4 +91,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_chat_formatting": chat_format.ORACLE,
         "op5_quality_rules": quality_rules.ORACLE,
         "op10_source_mixing": mixing.ORACLE,
+        "op11_embedding_near_dedup": cover_tree.ORACLE,
+        "op13_hard_negatives": hard_negatives.ORACLE,
     }

@@ -44,6 +44,6 @@ def test_stages_take_effect_in_order(spark, tmp_path):
 
 def test_registered_queries():
     names = list(queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(oracle_sql()) <= set(names) and corpus_pipeline.ORACLE_SQL is None
     assert bpe.Settings().tokenizer == "word_bpe_49k.json"
