@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_name
 
 BROADCAST_ENTRIES = 500_000  # distribution entries (8 bytes each) up to which the rates are broadcast
 
@@ -58,7 +58,11 @@ def uniform(key: Column, seed: int) -> Column:
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5,
                 scale: float = 1.0, seed: int = 11) -> DataFrame:
-    """The rows of ``docs``, each as often as drawn, in random order; ``copy_no_`` numbers the copies from 1."""
+    """The rows of ``docs``, each as often as drawn, in random order; ``copy_no_`` numbers the copies from 1.
+
+    Where ``docs`` has that column, more underscores follow in the new one's name.
+    """
+    numbered = free_name(docs, "copy_no_")
     steps = cut(poisson_steps(source_rates(docs, weights, temperature, scale)))
     entries = steps.agg(F.sum(F.size("steps"))).first()[0] or 0  # one row
     if entries <= BROADCAST_ENTRIES:
@@ -71,7 +75,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, temper
         "row_", "key_", F.explode(F.sequence(F.lit(1), F.col("copies_"))).alias("copy_no_"))
     shuffled = drawn.withColumn("place_", F.xxhash64(F.lit(seed), "key_", "copy_no_")).repartition(
         "place_").sortWithinPartitions("place_")
-    return shuffled.select("row_.*", "copy_no_")
+    return shuffled.select("row_.*", F.col("copy_no_").alias(numbered))
 
 
 ORACLE = """

@@ -1,11 +1,15 @@
 """Substring deduplication by sliding sentence spans.
 
-Every run of ``run`` consecutive sentences (more where they hold fewer than
-``min_words`` words together), and every shorter run of at least
-``long_words`` words, is hashed to 128 bits. A span that occurs in several
-documents stays in the one with the smallest doc_id; a span that occurs again
-in a document stays at its first place there. Sentences that any other
-occurrence covers are cut out; the rest of the text is left as it is.
+A sentence ends at a full stop or another mark of a pause (also a comma, colon or
+semicolon) before white space, or at a line's end, so that a passage that begins
+and ends inside a sentence still holds whole ones. From every sentence on, the
+shortest run of ``run`` or more consecutive sentences with ``min_words`` words
+(or of fewer, with ``long_words``) is hashed, and up to every sentence the
+shortest such run that ends there; so each whole sentence of a repeated passage
+of that size lies in a hashed run of it. A span that occurs in several documents
+stays in the one with the smallest doc_id; a span that occurs again in a document
+stays at its first place there. Sentences that any other occurrence covers are
+cut out; the rest of the text is left as it is.
 
 A document sends each of its distinct spans once. First owners are found by a
 pre-aggregated minimum per hash and joined back, so a passage that a third of
@@ -15,7 +19,8 @@ long as the document at most.
 Defined results: a null text stays null, texts without repeated spans are
 returned unchanged, a text may become empty. Rows that share a doc_id count as
 one document; a row without doc_id comes after all others, in the order of its
-text's hash. Other columns are returned unchanged.
+text's hash. Other columns are returned unchanged; the added column is
+``n_removed``, with underscores after it where that name is taken.
 """
 
 from __future__ import annotations
@@ -32,17 +37,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import to_bytes
+from .common import free_name, to_bytes
 
 
 @dataclass(frozen=True)
 class Settings:
     run: int = 3
-    min_words: int = 8
-    long_words: int = 50
+    min_words: int = 15
+    long_words: int = 15
 
 
-_END = re.compile(r"""(?:[.!?]+["'”’)\]]*(?=\s)|[。！？]+|\n)\s*""")
+_END = re.compile(r"""(?:[.!?,;:]+["'”’)\]]*(?=\s)|[。！？，；：、]+|\n)\s*""")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -65,24 +70,30 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 def runs(words: list[int], s: Settings) -> list[tuple[int, int]]:
     """The runs of sentences (from, to) that are hashed; ``words``: words per sentence."""
-    n, total = len(words), np.concatenate([[0], np.cumsum(words)]).tolist()
-    found = set()
-    for i in range(n):
-        j = i + s.run
-        while j <= n and total[j] - total[i] < s.min_words:
+    total = [0]
+    for n in words:
+        total.append(total[-1] + n)
+
+    def long(i: int, j: int) -> bool:
+        size = total[j] - total[i]
+        return size >= s.long_words or (j - i >= s.run and size >= s.min_words)
+
+    found, j = set(), 0
+    for i in range(len(words)):
+        j = max(j, i + 1)
+        while j <= len(words) and not long(i, j):
             j += 1
-        if j <= n:
-            found.add((i, j))
-        for j in range(i + 1, min(i + s.run, n + 1)):
-            if total[j] - total[i] >= s.long_words:
-                found.add((i, j))
-    for j in range(s.run, n + 1):  # runs that reach back, where the words before a run's end are few
-        if total[j] - total[j - s.run] < s.min_words:
-            i = j - s.run
-            while i >= 0 and total[j] - total[i] < s.min_words:
-                i -= 1
-            if i >= 0:
-                found.add((i, j))
+        if j > len(words):
+            break
+        found.add((i, j))
+    i = len(words) - 1
+    for j in range(len(words), 0, -1):
+        i = min(i, j - 1)
+        while i >= 0 and not long(i, j):
+            i -= 1
+        if i < 0:
+            break
+        found.add((i, j))
     return sorted(found)
 
 
@@ -92,12 +103,11 @@ def spans(text: str | None, s: Settings) -> tuple[list[tuple[int, int]], list[tu
         return [], [], []
     ranges = sentences(text)
     split = [text[a:b].split() for a, b in ranges]
-    counts = [len(x) for x in split]
-    if len(ranges) < s.run and sum(counts) < s.long_words:
+    found = runs([len(x) for x in split], s)
+    if not found:
         return ranges, [], []
     digest = xxhash.xxh3_128_digest
     own = [digest(to_bytes(" ".join(x))) for x in split]
-    found = runs(counts, s)
     return ranges, found, [digest(b"".join(own[i:j])) for i, j in found]
 
 
@@ -153,12 +163,11 @@ def cut_spans(text: str, foreign: set[int], repeated: set[int], s: Settings) ->
 
 def drop_repeated_spans(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with cut texts, and ``n_removed``: the number of sentences cut out of each row."""
-    s = settings
+    s, counted = settings, free_name(docs, "n_removed")
     keyed = docs.select(_document_key(docs).alias("key"), docs["text"].cast("string").alias("text"))
     found = document_spans(keyed, s)
-    owners = found.groupBy("h1", "h2").agg(F.min("key").alias("owner"), F.max("key").alias("last")).where("owner < last")
-    cuts = found.join(owners, ["h1", "h2"], "left").select(
-        "key", "h1", F.coalesce(F.col("key") != F.col("owner"), F.lit(False)).alias("foreign"), "again")
+    owners = found.groupBy("h1", "h2").agg(F.min("key").alias("owner"))
+    cuts = found.join(owners, ["h1", "h2"]).select("key", "h1", (F.col("key") != F.col("owner")).alias("foreign"), "again")
     lists = cuts.where("foreign or again").groupBy("key").agg(
         F.collect_set(F.when(F.col("foreign"), F.col("h1"))).alias("foreign"),
         F.collect_set(F.when(~F.col("foreign"), F.col("h1"))).alias("repeated"))
@@ -177,4 +186,4 @@ def drop_repeated_spans(docs: DataFrame, settings: Settings = Settings()) -> Dat
         F.coalesce("repeated", F.array().cast("array<bigint>"))))
     text = F.when(touched, F.col("new_.text")).otherwise(F.col("row_.text"))
     return cleaned.select(*(text.alias(c) if c == "text" else F.col("row_").getField(c).alias(c) for c in docs.columns),
-                          F.coalesce("new_.n", F.lit(0)).alias("n_removed"))
+                          F.coalesce("new_.n", F.lit(0)).alias(counted))

@@ -60,6 +60,52 @@ def test_a_passage_in_very_many_documents(documents):
     assert all(got[i].n_removed == 5 and passage not in got[i].text for i in range(1, 300))
 
 
+def prose(rng, words):
+    """Sentences of 4 to 25 words with a comma now and then."""
+    out, left = [], 0
+    for _ in range(words):
+        if not left:
+            left = rng.randint(4, 25)
+        left -= 1
+        out.append(f"w{rng.randrange(10**6)}" + ("." if not left else "," if rng.random() < .12 else ""))
+    return out
+
+
+def test_passages_that_begin_and_end_inside_a_sentence(documents):
+    rng = random.Random(11)
+    passages = [prose(rng, rng.randint(52, 70)) for _ in range(40)]
+    pairs, held = [], {}
+    for i in range(240):
+        body = prose(rng, rng.randint(30, 200))
+        at = rng.randrange(1, len(body))
+        if i >= 40:
+            held[i] = passages[i % 40]
+            body[at:at] = held[i]
+        pairs.append((i, " ".join(body)))
+    got = {r.doc_id: r for r in drop_repeated_spans(documents(pairs)).collect()}
+    assert {i: r.text for i, r in got.items()} == brute(pairs)
+    first = set(range(40, 80))
+    assert all(not r.n_removed and r.text == pairs[i][1] for i, r in got.items() if i < 40 or i in first)
+    later = [i for i in held if i not in first]
+    assert sum(got[i].n_removed > 0 and " ".join(held[i]) not in got[i].text for i in later) >= .95 * len(later)
+
+
+def test_runs_cover_every_sentence_of_a_passage():
+    rng = random.Random(6)
+    for _ in range(300):
+        counts = [rng.choice([1, 2, 4, 9, 16, 30]) for _ in range(rng.randint(1, 12))]
+        i, j = sorted(rng.sample(range(len(counts) + 1), 2))
+        inside = [(a, b) for a, b in runs(counts, S) if i <= a and b <= j]
+        if sum(counts[i:j]) >= S.min_words:
+            assert set().union(*(range(a, b) for a, b in inside)) == set(range(i, j))
+
+
+def test_a_column_named_like_the_count(documents):
+    docs = documents([(1, "Some words."), (2, None)], extra=("n_removed", "key", "owner", "new_"))
+    out = drop_repeated_spans(docs)
+    assert out.columns == [*docs.columns, "n_removed_"] and {r.n_removed for r in out.collect()} == {"x"}
+
+
 def test_clean_and_odd_rows_stay(documents):
     rng = random.Random(1)
     clean = [(10 + i, "\n".join(sentence(rng) for _ in range(20)) + "  ") for i in range(20)]
