@@ -1,22 +1,31 @@
 """Text scores of a log-bilinear language model trained by noise-contrastive estimation.
 
 Tokens are words with A-Z lower-cased plus one end token per text. The model
-predicts a token's class from the ``context`` tokens before it: a frequent
-token has a class of its own, any other shares one with the tokens of like
-endings. The predicted vector is the sum of the context classes' vectors, each
-weighted per position and dimension; its products with all class vectors,
-normalised, give P(class | context). Within a shared class a token has its
-share of the training count, less a Good-Turing share for unseen tokens, so
-that probabilities add up to one.
-
-Jobs: (1) all training tokens are counted; (2) each round, every task trains a
-copy of the small model on its own documents in numpy and the copies are
-averaged, weighted by their targets (the model is of fixed size, whatever the
-corpus; every training document gives a target at each ``stride``-th place);
-(3) every text is scored in batched matrix products. Counts of the most
-frequent tokens (at most ``known``) go along with the model; all other tokens
+predicts a token from the ``context`` tokens before it: the sum of their vectors,
+each weighted per position and dimension, is multiplied with the vectors of
+what may follow and normalised, on two levels:
+
+    P(token) = P(class | context) * P(unit | class, context) * share of the token in its unit
+
+A class holds the tokens of like endings (punctuation at the end left aside). Its
+units are frequent tokens, one unit each, and cells of the other tokens by how
+they begin; in a cell a token has its share of the training count, less a
+Good-Turing share for unseen tokens, so that probabilities add up to one. The
+frequent tokens are as many as the square root of the number of training tokens,
+so units, classes and cells all grow with the corpus, and the model (two vectors
+per unit) stays small beside it.
+
+Jobs: (1) every text is split and hashed once, and its tokens' codes are written;
+(2) all training tokens are counted; (3) every task trains a copy of the model on
+its own documents in numpy, every place of every text being a target once per
+round, and each vector becomes the mean of the copies that met it, weighted by how
+often they did; (4) every text is scored in batched matrix products. Counts of the
+most frequent tokens (at most ``known``) go along with the model; all other tokens
 look their counts up in a join.
 
+The noise of a task is seeded by its partition, so a task that runs again gives the
+same copy; how rows fall into partitions changes the mean of the copies.
+
 Defined results: a null text counts as empty and is the end token alone; a row
 without doc_id is a training row; rows are scored each for itself; with no
 training rows all scores come from the smoothing terms. Other columns are not read.
@@ -32,111 +41,142 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, word_slices
 
-ENDINGS = 128  # classes of the tokens without a class of their own; the low bits of a token's code
-_LOW = ENDINGS - 1
-_SIGN = 1 << 63
+# A token's code: 42 bits of its hash, 12 of its ending's and 10 of its beginning's.
+_END_BITS, _BEGIN_BITS = 12, 10
+_HASH = np.uint64(((1 << 42) - 1) << (_END_BITS + _BEGIN_BITS))
+_MARKS = b".,;:!?\"')]}"
 _hash = xxhash.xxh3_64_intdigest
 
 
 @dataclass(frozen=True)
 class Settings:
-    words: int = 128       # most frequent tokens, one class each
+    words: float = 0.5     # the frequent tokens are the number of training tokens to this power
     context: int = 4
     size: int = 32         # dimensions
-    rounds: int = 2        # averaged passes over the training documents
-    stride: int = 8
+    rounds: int = 1        # passes over all places of the training documents
     batch: int = 1024      # targets in a training step
-    noise: int = 64        # noise tokens in a step
-    rate: float = 0.1      # of Adagrad
+    noise: int = 48        # noise classes in a step
+    inner: int = 4         # noise units of its class for each target
+    rate: float = 0.05     # of Adagrad
     known: int = 1 << 18   # tokens whose counts every task holds (16 bytes each)
-    block: int = 1024      # tokens scored in one matrix product
+    block: int = 4096      # tokens scored in one matrix product
 
 
-class Endings(dict):
-    """last bytes of a word -> class; as many entries as there are endings of three bytes."""
+class Features(dict):
+    """word -> the low bits of its code; of words that were met before (forgotten together when there are many)."""
 
-    def __missing__(self, ending: bytes) -> int:
-        self[ending] = zlib.crc32(ending) & _LOW
-        return self[ending]
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        bare = word.rstrip(_MARKS) or word
+        ending, start = zlib.crc32(bare[-3:]) & ((1 << _END_BITS) - 1), zlib.crc32(bare[:3]) & ((1 << _BEGIN_BITS) - 1)
+        self[word] = value = (_hash(word) & int(_HASH)) | (ending << _BEGIN_BITS) | start
+        return value
 
 
-def _codes(words: list[bytes], endings: Endings) -> np.ndarray:
-    """57 hash bits of each word and the class of its ending."""
-    high = np.array([_hash(w) for w in words], np.uint64) & np.uint64(~_LOW & (2 * _SIGN - 1))
-    return high | np.array([endings[w[-3:]] for w in words], np.uint64)
+def _codes(words: list[bytes], features: Features) -> np.ndarray:
+    return np.array([features[w] for w in words], np.uint64)
 
 
-END = _codes([b"\n"], Endings())  # no word contains white space
+END = _codes([b"\n"], Features())  # no word contains white space
 
 
-def token_codes(text: str | None, endings: Endings) -> np.ndarray:
-    return np.concatenate([*(_codes(words, endings) for words in word_slices(text or "")), END])
+def token_codes(text: str | None, features: Features) -> np.ndarray:
+    return np.concatenate([*(_codes(words, features) for words in word_slices(text or "")), END])
 
 
 def held_out(docs: DataFrame) -> Column:
     return F.coalesce(F.crc32(docs["doc_id"].cast("string")) % 5 == 1, F.lit(False))
 
 
+def coded(docs: DataFrame) -> DataFrame:
+    """``uid, doc_id, held, codes`` per row: the tokens of the whole text as 8-byte codes."""
+    schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("held", pa.int32()), ("codes", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                codes = [token_codes(x.as_py(), features).tobytes() for x in part.column(3)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(codes, pa.binary())], schema=schema)
+
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs["doc_id"].cast("long").alias("doc_id"),
+                       held_out(docs).cast("int").alias("held"), docs["text"].cast("string").alias("text"))
+    return cut(rows.mapInArrow(run, "uid long, doc_id long, held int, codes binary"))
+
+
 # -- counting -------------------------------------------------------------
 
 def token_counts(texts: DataFrame) -> DataFrame:
-    """``h, c``: every distinct token code and its count."""
+    """``h, c``: every distinct token code of ``codes`` and its count."""
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        endings, held, size = Endings(), [], 0
+        held, size = [], 0
 
         def flush():
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], schema=schema)
+            found, counts = np.unique(np.frombuffer(b"".join(held), np.int64), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], schema=schema)
 
         for batch in batches:
-            for text in batch.column(0):
-                held.append(token_codes(text.as_py(), endings))
+            for codes in batch.column(0):
+                held.append(codes.as_py())
                 size += len(held[-1])
-                if size >= 1_000_000:
+                if size >= 8_000_000:
                     yield flush()
                     held, size = [], 0
         if held:
             yield flush()
 
-    return texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return texts.select("codes").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 @dataclass
 class Vocabulary:
-    """What every task needs of the counts; bounded by ``Settings.words`` and ``Settings.known``."""
+    """What every task needs of the counts; its size grows with the square root of the training tokens."""
     total: int
     distinct: int
-    own: np.ndarray        # sorted codes with a class of their own
-    own_ids: np.ndarray
-    known: np.ndarray      # sorted codes with known counts
-    known_log: np.ndarray  # log10 of their counts
+    bits: int               # classes are the top bits of the ending, 2 ** bits of them
+    own: np.ndarray         # sorted codes of the frequent tokens
+    own_units: np.ndarray   # their units
+    cells: np.ndarray       # unit of each cell (class, beginning)
+    starts: np.ndarray      # first unit of each class, and the number of units
+    prior: np.ndarray       # smoothed probability of each unit
+    known: np.ndarray       # sorted codes with known counts
+    known_log: np.ndarray   # log10 of their counts
     known_base: np.ndarray  # log10 of their smoothed shares
-    class_log: np.ndarray  # log10 of (1 - unseen share) / class count, per shared class
-    unseen_log: np.ndarray  # log10 of the unseen share, per shared class
-    prior: np.ndarray      # smoothed class probabilities
+    share_log: np.ndarray   # log10 of (1 - unseen share) / count, per unit that is a cell; 0 for tokens
+    unseen_log: np.ndarray  # log10 of the unseen share, per unit that is a cell
 
     @property
     def classes(self) -> int:
+        return 1 << self.bits
+
+    @property
+    def units(self) -> int:
         return len(self.prior)
 
     @property
     def spread(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
 
-    def ids(self, codes: np.ndarray) -> np.ndarray:
-        out = len(self.own) + (codes & np.uint64(_LOW)).astype(np.int64)
+    def unit_ids(self, codes: np.ndarray) -> np.ndarray:
+        out = self.cells[_cell(codes, self.bits)]
         if len(self.own):
             at = np.minimum(np.searchsorted(self.own, codes), len(self.own) - 1)
-            out = np.where(self.own[at] == codes, self.own_ids[at], out)
+            out = np.where(self.own[at] == codes, self.own_units[at], out)
         return out
 
+    def class_of(self, units: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, units, side="right") - 1
+
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which tokens' counts are held here, and where."""
         if not len(self.known):
@@ -145,6 +185,19 @@ class Vocabulary:
         return self.known[at] == codes, at
 
 
+def _beginnings(bits: int) -> int:
+    """Bits of the beginning that tell the cells of a class apart."""
+    return max(0, min(_BEGIN_BITS, bits - 1))
+
+
+def _cell(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Class and beginning of each code, as one number."""
+    ending = (codes >> np.uint64(_BEGIN_BITS + _END_BITS - bits)) & np.uint64((1 << bits) - 1)
+    more = _beginnings(bits)
+    begin = (codes >> np.uint64(_BEGIN_BITS - more)) & np.uint64((1 << more) - 1)
+    return ((ending << np.uint64(more)) | begin).astype(np.int64)
+
+
 def _columns(df: DataFrame) -> list[np.ndarray]:
     got = df.toArrow()
     return [got.column(i).to_numpy() for i in range(got.num_columns)]
@@ -153,7 +206,10 @@ def _columns(df: DataFrame) -> list[np.ndarray]:
 def vocabulary(counts: DataFrame, s: Settings) -> Vocabulary:
     row = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = row["n"] or 0, row["v"]
-    top, top_counts = _columns(counts.orderBy(F.desc("c"), "h").limit(s.words))
+    words = math.ceil(total ** s.words)
+    bits = min(_END_BITS, max(1, math.ceil(math.log2(max(2, 2 * words)) / 2)))
+    more = _beginnings(bits)
+    top, top_counts = _columns(counts.orderBy(F.desc("c"), "h").limit(words))
     # tokens by the power of two of their count: at most 63 rows; as many powers as fit are held
     powers = sorted(counts.groupBy(F.floor(F.log2("c")).cast("int").alias("p")).count().collect(), reverse=True)
     least, held = None, 0
@@ -162,64 +218,73 @@ def vocabulary(counts: DataFrame, s: Settings) -> Vocabulary:
             break
         least, held = power, held + n
     known, known_counts = _columns(counts.where(F.floor(F.log2("c")) >= least)) if least is not None else (top, top_counts)
-    sums = np.zeros((2, ENDINGS))
-    rest = counts.groupBy(F.col("h").bitwiseAND(F.lit(_LOW)).cast("int").alias("g")).agg(
-        F.sum("c").alias("c"), F.sum((F.col("c") == 1).cast("int")).alias("ones"))
+    sums = np.zeros((2, 1 << (bits + more)))
+    ending = F.shiftright("h", _BEGIN_BITS + _END_BITS - bits).bitwiseAND(F.lit((1 << bits) - 1))
+    begin = F.shiftright("h", _BEGIN_BITS - more).bitwiseAND(F.lit((1 << more) - 1))
+    rest = counts.groupBy((ending * (1 << more) + begin).cast("int").alias("g")).agg(
+        F.sum("c").alias("c"), F.sum((F.col("c") == 1).cast("int")).alias("ones"))  # one row per cell
     for g, c, ones in rest.collect():
         sums[:, g] = c, ones
-    for code, c in zip(top.tolist(), top_counts.tolist(), strict=True):
-        sums[0, code & _LOW] -= c
-        sums[1, code & _LOW] -= c == 1
+    own = top.view(np.uint64)
+    own_cells = _cell(own, bits)
+    np.subtract.at(sums[0], own_cells, top_counts)
+    np.subtract.at(sums[1], own_cells, top_counts == 1)
     unseen = (sums[1] + 1) / (sums[0] + 2)
-    masses = np.concatenate([top_counts, sums[0]]) + 0.5
-    order, order_known = np.argsort(top.view(np.uint64)), np.argsort(known.view(np.uint64))
+    masses = np.concatenate([sums[0], top_counts]) + 0.5
+    every = np.concatenate([np.arange(sums.shape[1]), own_cells]) >> more
+    order = np.argsort(every, kind="stable")  # units class by class: its cells, then its tokens
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    share, new = np.zeros(len(order)), np.zeros(len(order))
+    share[place[:sums.shape[1]]] = np.log10((1 - unseen) / np.maximum(sums[0], 1))
+    new[place[:sums.shape[1]]] = np.log10(unseen)
+    order_own, order_known = np.argsort(own), np.argsort(known.view(np.uint64))
     return Vocabulary(
-        total, distinct, top.view(np.uint64)[order], order, known.view(np.uint64)[order_known],
-        np.log10(np.maximum(known_counts[order_known], 1)),
-        np.log10((known_counts[order_known] + 0.5) / (total + 0.5 * (distinct + 1))),
-        np.log10((1 - unseen) / np.maximum(sums[0], 1)), np.log10(unseen), masses / masses.sum())
+        total, distinct, bits, own[order_own], place[sums.shape[1]:][order_own], place[:sums.shape[1]],
+        np.searchsorted(every[order], np.arange((1 << bits) + 1)), masses[order] / masses.sum(),
+        known.view(np.uint64)[order_known], np.log10(np.maximum(known_counts[order_known], 1)),
+        np.log10((known_counts[order_known] + 0.5) / (total + 0.5 * (distinct + 1))), share, new)
 
 
 # -- model ----------------------------------------------------------------
 
 @dataclass
 class Model:
-    """Context vectors (the last row stands for places before the text), position weights, class vectors, biases."""
+    """Context vectors of the units (the last row: places before the text), position weights, vectors with their biases
+    (last column) of the classes and of the units."""
     context: np.ndarray
     places: np.ndarray
-    target: np.ndarray
-    bias: np.ndarray
+    outer: np.ndarray
+    inner: np.ndarray
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.context.ravel(), self.places.ravel(), self.target.ravel(), self.bias])
+    def tables(self) -> tuple[np.ndarray, ...]:
+        return self.context, self.places, self.outer, self.inner
 
-    def refilled(self, values: np.ndarray) -> Model:
-        parts, start = [], 0
-        for x in (self.context, self.places, self.target, self.bias):
-            parts.append(values[start:start + x.size].reshape(x.shape).astype(np.float32))
-            start += x.size
-        return Model(*parts)
+    def copy(self) -> Model:
+        return Model(*(x.copy() for x in self.tables()))
 
 
-def fresh(v: Vocabulary, s: Settings) -> Model:
-    rng = np.random.default_rng(17)
+def class_prior(v: Vocabulary) -> np.ndarray:
+    return np.add.reduceat(v.prior, v.starts[:-1])
 
-    def small(*shape):
-        return rng.normal(0, 0.1, shape).astype(np.float32)
 
-    return Model(small(v.classes + 1, s.size), np.full((s.context, s.size), 1 / s.context, np.float32),
-                 small(v.classes, s.size), np.log(v.prior).astype(np.float32))
+def fresh(v: Vocabulary, s: Settings) -> Model:
+    rng = np.random.default_rng(17)
 
+    def small(rows: int, bias: np.ndarray | None = None) -> np.ndarray:
+        out = rng.normal(0, 0.1, (rows, s.size)).astype(np.float32)
+        return out if bias is None else np.concatenate([out, bias[:, None].astype(np.float32)], axis=1)
 
-def contexts(ids: np.ndarray, at: np.ndarray, n: int, before: int) -> np.ndarray:
-    """Classes at the n places before each place of ``at`` in one text."""
-    padded = np.concatenate([np.full(n, before, np.int64), ids])
-    return np.stack([padded[at + n - 1 - i] for i in range(n)], axis=1)
+    outer = class_prior(v)
+    own_class = v.class_of(np.arange(v.units))
+    return Model(small(v.units + 1), np.full((s.context, s.size), 1 / s.context, np.float32),
+                 small(v.classes, np.log(outer)), small(v.units, np.log(v.prior / outer[own_class])))
 
 
-def text_contexts(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, n: int, before: int) -> np.ndarray:
-    """The same for every place of texts that follow one another in ``ids``."""
-    out = np.full((len(ids), n), before, np.int64)
+def text_contexts(ids: np.ndarray, sizes: np.ndarray, n: int, before: int) -> np.ndarray:
+    """Units at the n places before each place of texts that follow one another in ``ids``."""
+    out = np.full((len(ids), n), before, np.int32)
+    starts = np.cumsum(sizes) - sizes
     place = np.arange(len(ids)) - np.repeat(starts, sizes)
     for i in range(n):
         inside = np.flatnonzero(place > i)
@@ -227,151 +292,216 @@ def text_contexts(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, n: int
     return out
 
 
+def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, how often each occurs and the sum of its rows."""
+    order = np.argsort(ids, kind="stable")
+    ordered = ids[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[first], np.diff(np.append(first, len(ids))), np.add.reduceat(rows[order], first, axis=0)
+
+
 class Trainer:
-    def __init__(self, model: Model, prior: np.ndarray, s: Settings, seed: int):
-        self.m, self.s = model.refilled(model.flat()), s
+    def __init__(self, model: Model, v: Vocabulary, s: Settings, seed: tuple[int, ...]):
+        self.m, self.v, self.s = model.copy(), v, s
         self.rng = np.random.default_rng(seed)
-        self.prior = prior
-        self.log_noise = np.log(s.noise * prior).astype(np.float32)
-        self.squares = [np.full_like(x, 1e-6) for x in (self.m.context, self.m.places, self.m.target, self.m.bias)]
-
-    def step(self, around: np.ndarray, target: np.ndarray) -> None:
-        """One ascent step of the contrastive objective on a batch; the noise tokens are shared by the batch."""
-        m, s, size = self.m, self.s, len(target)
-        noise = self.rng.choice(len(self.prior), s.noise, p=self.prior)
+        prior = class_prior(v)
+        self.outer_sums = np.cumsum(prior)
+        self.outer_noise = np.log(s.noise * prior).astype(np.float32)
+        own_class = v.class_of(np.arange(v.units))
+        self.inner_noise = np.log(s.inner * v.prior / prior[own_class]).astype(np.float32)
+        self.sums = np.concatenate([[0], np.cumsum(v.prior)])
+        self.squares = [np.full_like(x, 0.1) for x in self.m.tables()]
+        self.met = [np.zeros(len(x)) for x in self.m.tables()]
+
+    def step(self, around: np.ndarray, unit: np.ndarray, own: np.ndarray) -> None:
+        """One ascent step of both levels' contrastive objectives on a batch of targets (their units and classes)."""
+        m, s, rng = self.m, self.s, self.rng
         vectors = m.context[around]                                   # batch, places, size
-        q = (vectors * m.places).sum(axis=1)
-        good = (q * m.target[target]).sum(axis=1) + m.bias[target] - self.log_noise[target]
-        bad = q @ m.target[noise].T + m.bias[noise] - self.log_noise[noise]
-        d_good = 1 / (1 + np.exp(np.clip(good, -30, 30)))
-        d_bad = -1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-        dq = d_good[:, None] * m.target[target] + d_bad @ m.target[noise]
-        hits = _one_hot(target, len(m.bias))
-        noisy = _one_hot(noise, len(m.bias))
-        d_target = hits @ (d_good[:, None] * q) + noisy @ (d_bad.T @ q)
-        d_bias = hits @ d_good + noisy @ d_bad.sum(axis=0)
+        q = np.empty((len(unit), s.size + 1), np.float32)             # with a 1 for the bias
+        np.einsum("bpd,pd->bd", vectors, m.places, out=q[:, :-1])
+        q[:, -1] = 1
+        # classes against noise classes that the batch shares
+        noise = np.minimum(np.searchsorted(self.outer_sums, rng.random(s.noise) * self.outer_sums[-1]), len(m.outer) - 1)
+        true, false = m.outer[own], m.outer[noise]
+        good = _pull((q * true).sum(axis=1) - self.outer_noise[own])
+        bad = -_pull(self.outer_noise[noise] - q @ false.T)
+        # units against noise units of the same class
+        low, high = self.sums[self.v.starts[own]][:, None], self.sums[self.v.starts[own + 1]][:, None]
+        others = np.searchsorted(self.sums, low + rng.random((len(unit), s.inner)) * (high - low), side="right") - 1
+        others = np.clip(others, self.v.starts[own][:, None], self.v.starts[own + 1][:, None] - 1)
+        true_in, false_in = m.inner[unit], m.inner[others]
+        good_in = _pull((q * true_in).sum(axis=1) - self.inner_noise[unit])
+        bad_in = -_pull(self.inner_noise[others] - np.einsum("bd,bkd->bk", q, false_in))
+        dq = good[:, None] * true + bad @ false + good_in[:, None] * true_in + np.einsum("bk,bkd->bd", bad_in, false_in)
+        dq = dq[:, :-1]
+        self._add(2, np.concatenate([own, noise]), np.concatenate([good[:, None] * q, bad.T @ q]))
+        self._add(3, np.concatenate([unit, others.ravel()]),
+                  np.concatenate([good_in[:, None] * q, (bad_in[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])]))
         d_places = np.einsum("bd,bpd->pd", dq, vectors)
-        d_context = np.zeros_like(m.context)
-        for i in range(s.context):
-            d_context += _one_hot(around[:, i], len(m.context)) @ (dq * m.places[i])
-        for x, d, total in zip((m.context, m.places, m.target, m.bias), (d_context, d_places, d_target, d_bias),
-                               self.squares, strict=True):
-            d /= size
-            total += d * d
-            x += s.rate * d / np.sqrt(total)
-
-
-def _one_hot(ids: np.ndarray, rows: int) -> np.ndarray:
-    out = np.zeros((rows, len(ids)), np.float32)
-    out[ids, np.arange(len(ids))] = 1
-    return out
+        self._add(0, around.ravel(), (dq[:, None, :] * m.places).reshape(-1, s.size))
+        self._add(1, np.arange(s.context), d_places)
+
+    def _add(self, table: int, ids: np.ndarray, rows: np.ndarray) -> None:
+        x, squares, met = self.m.tables()[table], self.squares[table], self.met[table]
+        ids, n, d = _summed(ids, rows)
+        total = squares[ids] + d * d
+        squares[ids] = total
+        x[ids] += self.s.rate * d / np.sqrt(total)
+        met[ids] += n
+
+
+def _pull(x: np.ndarray) -> np.ndarray:
+    """1 - the logistic function."""
+    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+
+
+def _texts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts put together up to ``most`` codes or so: their codes, and how many each text has."""
+    held, size = [], 0
+    for batch in batches:
+        for codes in batch.column(0):
+            held.append(codes.as_py())
+            size += len(held[-1]) // 8
+            if size >= most:
+                yield np.frombuffer(b"".join(held), np.uint64), np.array([len(x) // 8 for x in held])
+                held, size = [], 0
+    if held:
+        yield np.frombuffer(b"".join(held), np.uint64), np.array([len(x) // 8 for x in held])
+
+
+def _train(batches: Iterator[pa.RecordBatch], model: Model, v: Vocabulary, s: Settings, seed: tuple[int, ...]) -> Trainer:
+    """A copy of the model, trained at every place of the texts."""
+    trainer = Trainer(model, v, s, seed)
+    for codes, sizes in _texts(batches, 64 * s.batch):
+        units = v.unit_ids(codes)
+        around, own = text_contexts(units, sizes, s.context, v.units), v.class_of(units)
+        order = trainer.rng.permutation(len(units))
+        for i in range(0, len(order), s.batch):
+            part = order[i:i + s.batch]
+            trainer.step(around[part], units[part], own[part])
+    return trainer
 
 
 def train_round(texts: DataFrame, model: Model, v: Vocabulary, s: Settings, turn: int) -> Model:
-    """The mean of the models that the tasks train, weighted by their numbers of targets."""
+    """Every vector as the mean of the tasks' copies of it, weighted by how often each copy met it."""
     shared = texts.sparkSession.sparkContext.broadcast((model, v))
-    schema = pa.schema([("at", pa.int32()), ("value", pa.float64()), ("weight", pa.float64())])
+    schema = pa.schema([("row", pa.int32()), ("weight", pa.float64()), ("vector", pa.binary())])
+    sizes = [len(x) for x in model.tables()]
+    starts = np.cumsum([0, *sizes])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, voc = shared.value
-        trainer, endings, seen = Trainer(start, voc.prior, s, turn), Endings(), 0
-        around, target, held = [], [], 0
-
-        def learn():
-            a, t = np.concatenate(around), np.concatenate(target)
-            order = trainer.rng.permutation(len(t))
-            for i in range(0, len(t), s.batch):
-                part = order[i:i + s.batch]
-                trainer.step(a[part], t[part])
+        trainer = _train(batches, start, voc, s, (turn, TaskContext.get().partitionId()))
+        for table, (x, met) in enumerate(zip(trainer.m.tables(), trainer.met, strict=True)):
+            hit = np.flatnonzero(met)
+            for i in range(0, len(hit), 4096):
+                some = hit[i:i + 4096]
+                vectors = [(x[k].astype(np.float64) * met[k]).astype(np.float32).tobytes() for k in some]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some + starts[table], pa.int32()), pa.array(met[some]), pa.array(vectors, pa.binary())], schema=schema)
 
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, weight, total = None, 0.0, None
+        done = []
         for batch in batches:
-            for text in batch.column(0):
-                ids = voc.ids(token_codes(text.as_py(), endings))
-                at = np.arange((len(ids) + turn) % s.stride, len(ids), s.stride)
-                if len(at):
-                    around.append(contexts(ids, at, s.context, voc.classes))
-                    target.append(ids[at])
-                    held, seen = held + len(at), seen + len(at)
-                if held >= 64 * s.batch:
-                    learn()
-                    around, target, held = [], [], 0
-        if held:
-            learn()
-        if seen:
-            flat = trainer.m.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), float(seen)))],
-                schema=schema)
-
-    rows = texts.select("text").mapInArrow(run, "at int, value double, weight double")
-    mean = rows.groupBy("at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value"))
-    at, values = _columns(mean)
-    if not len(at):
-        return model
-    flat = np.empty(len(at))
-    flat[at] = values
-    return model.refilled(flat)
-
-
-def class_logs(model: Model, around: np.ndarray, target: np.ndarray, block: int) -> np.ndarray:
-    """log10 P(class of the token | its context), normalised over all classes."""
-    tables = [model.context * w for w in model.places]
-    tables[0] = np.concatenate([tables[0], np.ones((len(tables[0]), 1), np.float32)], axis=1)  # times the bias
-    tables[1:] = [np.pad(t, ((0, 0), (0, 1))) for t in tables[1:]]
-    vectors = np.ascontiguousarray(np.concatenate([model.target, model.bias[:, None]], axis=1).T)
-    ones = np.ones(vectors.shape[1], np.float32)
-    reach = sum(np.linalg.norm(t, axis=1).max() for t in tables) * np.linalg.norm(vectors, axis=0).max()
-    out = np.empty(len(target))
-    for i in range(0, len(target), block):
-        a, t = around[i:i + block], target[i:i + block]
-        q = tables[0].take(a[:, 0], axis=0)
-        for j in range(1, len(tables)):
-            q += tables[j].take(a[:, j], axis=0)
-        scores = q @ vectors
-        if reach > 80:  # only then could a power overflow
-            scores -= scores.max(axis=1, keepdims=True)
-        chosen = scores[np.arange(len(t)), t]
-        np.exp(scores, out=scores)
-        out[i:i + block] = chosen - np.log(scores @ ones)
+            for k, w, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                vector = np.frombuffer(data, np.float32).astype(np.float64)
+                if k != row:
+                    if row is not None:
+                        done.append((row, weight, (total / weight).astype(np.float32).tobytes()))
+                    row, weight, total = k, w, vector
+                else:
+                    weight, total = weight + w, total + vector
+            if len(done) >= 4096:
+                yield _rows(done, schema)
+                done = []
+        if row is not None:
+            done.append((row, weight, (total / weight).astype(np.float32).tobytes()))
+        if done:
+            yield _rows(done, schema)
+
+    ddl = "row int, weight double, vector binary"
+    copies = cut(texts.select("codes").mapInArrow(run, ddl))
+    means = copies.repartition("row").sortWithinPartitions("row", "weight", "vector").mapInArrow(mean, ddl)
+    out = model.copy()
+    got = means.select("row", "vector").toArrow()  # at most one row per vector of the model
+    for k, data in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+        table = int(np.searchsorted(starts, k, side="right")) - 1
+        out.tables()[table][k - starts[table]] = np.frombuffer(data, np.float32)
+    shared.destroy()
+    return out
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def unit_logs(model: Model, v: Vocabulary, around: np.ndarray, units: np.ndarray, block: int) -> np.ndarray:
+    """log10 P(class | context) + log10 P(unit | class, context), normalised over all classes and all units of the class."""
+    own = v.class_of(units)
+    q = np.empty((len(units), model.places.shape[1] + 1), np.float32)
+    q[:, -1] = 1
+    q[:, :-1] = model.context[around[:, 0]] * model.places[0]
+    for i in range(1, len(model.places)):
+        q[:, :-1] += model.context[around[:, i]] * model.places[i]
+    out = np.empty(len(units))
+    for i in range(0, len(units), block):
+        out[i:i + block] = _log_softmax(q[i:i + block] @ model.outer.T, own[i:i + block])
+    order = np.argsort(own, kind="stable")
+    edges = np.searchsorted(own[order], np.arange(v.classes + 1))
+    for k in np.flatnonzero(np.diff(edges)):
+        for i in range(edges[k], edges[k + 1], block):
+            some = order[i:min(i + block, edges[k + 1])]
+            inside = model.inner[v.starts[k]:v.starts[k + 1]]
+            out[some] += _log_softmax(q[some] @ inside.T, units[some] - v.starts[k])
     return out / math.log(10)
 
 
+def _log_softmax(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=1, keepdims=True)
+    picked = scores[np.arange(len(chosen)), chosen]
+    np.exp(scores, out=scores)
+    return picked - np.log(scores.sum(axis=1))
+
+
 # -- scoring --------------------------------------------------------------
 
-_SCORED = pa.schema([("uid", pa.int64()), ("h", pa.int64()), ("tf", pa.int64()), ("sum", pa.struct([
+_SCORED = pa.schema([("uid", pa.int64()), ("h", pa.int64()), ("tf", pa.int64()), ("more", pa.float64()), ("sum", pa.struct([
     ("doc_id", pa.int64()), ("held", pa.int32()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
     ("base", pa.float64()), ("lm", pa.float64())]))])
-_SCORED_DDL = ("uid long, h long, tf long, "
+_SCORED_DDL = ("uid long, h long, tf long, more double, "
                "sum struct<doc_id: long, held: int, n_tokens: long, n_known: long, base: double, lm: double>")
 
 
-def partial_scores(docs: DataFrame, model: Model, v: Vocabulary, s: Settings) -> DataFrame:
-    """Per row one summary of all but the rarer tokens, and one row ``uid, h, tf`` per distinct rarer token."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, v))
+def partial_scores(rows: DataFrame, model: Model, v: Vocabulary, s: Settings) -> DataFrame:
+    """Per row a summary, in which the rarer tokens count as unseen; and per distinct rarer token one row ``uid, h, tf, more``.
+
+    ``more`` is what its score gains, besides the log of its count, where the token has been seen.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((model, v))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, voc = shared.value
-        endings = Endings()
 
         def score(heads, texts):
-            tokens = np.concatenate(texts)
-            sizes = np.array([len(x) for x in texts])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            ids = voc.ids(tokens)
-            around = text_contexts(ids, starts, sizes, s.context, voc.classes)
-            lm = class_logs(m, around, ids, s.block)
+            tokens = np.frombuffer(b"".join(texts), np.uint64)
+            sizes = np.array([len(x) // 8 for x in texts])
+            starts = np.cumsum(sizes) - sizes
+            units = voc.unit_ids(tokens)
+            lm = unit_logs(m, voc, text_contexts(units, sizes, s.context, voc.units), units, s.block)
             has, at = voc.find(tokens)
-            held_at = at[has]
-            shared_class = np.flatnonzero(has & (ids >= len(voc.own)))
-            lm[shared_class] += voc.known_log[at[shared_class]] + voc.class_log[ids[shared_class] - len(voc.own)]
+            in_cell = has & (voc.share_log[units] != 0)
+            lm[in_cell] += voc.known_log[at[in_cell]] + voc.share_log[units[in_cell]]
+            frequent = has | (voc.share_log[units] == 0)
+            lm[~frequent] += voc.unseen_log[units[~frequent]]
             base = np.zeros(len(tokens))
-            base[has] = voc.known_base[held_at]
+            base[has] = voc.known_base[at[has]]
             sums = [np.add.reduceat(x, starts) for x in (has.astype(np.int64), base, lm)]
             rest = np.flatnonzero(~has)
-            owner = np.repeat(np.arange(len(sizes)), sizes)[rest]
-            rest_codes = tokens[rest]
+            owner, rest_codes = np.repeat(np.arange(len(sizes)), sizes)[rest], tokens[rest]
+            gain = np.where(frequent[rest], np.nan, voc.share_log[units[rest]] - voc.unseen_log[units[rest]])
             order = np.lexsort((rest_codes, owner))
-            owner, rest_codes = owner[order], rest_codes[order]
+            owner, rest_codes, gain = owner[order], rest_codes[order], gain[order]
             first = np.ones(len(owner), bool)
             first[1:] = (owner[1:] != owner[:-1]) | (rest_codes[1:] != rest_codes[:-1])
             at = np.flatnonzero(first)
@@ -383,52 +513,48 @@ def partial_scores(docs: DataFrame, model: Model, v: Vocabulary, s: Settings) ->
                 *(pa.array(x) for x in sums)], fields=list(_SCORED.field("sum").type))
             blank = np.zeros(len(uids), np.int64)
             spread = (uids * -7046029254386353131)  # where a summary goes does not matter
-            yield pa.RecordBatch.from_arrays([pa.array(uids), pa.array(spread), pa.array(blank), summary], schema=_SCORED)
+            yield pa.RecordBatch.from_arrays([pa.array(uids), pa.array(spread), pa.array(blank), pa.array(blank * 0.0), summary],
+                                             schema=_SCORED)
             if len(at):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(uids[owner[at]]), pa.array(rest_codes[at].view(np.int64)), pa.array(tf, pa.int64()),
-                    pa.nulls(len(at), _SCORED.field("sum").type)], schema=_SCORED)
+                    pa.array(gain[at], from_pandas=True), pa.nulls(len(at), _SCORED.field("sum").type)], schema=_SCORED)
 
         heads, texts, held = [], [], 0
         for batch in batches:
             named = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            for head, text in zip(named, batch.column(3), strict=True):
+            for head, codes in zip(named, batch.column(3), strict=True):
                 heads.append(head)
-                texts.append(token_codes(text.as_py(), endings))
-                held += len(texts[-1])
+                texts.append(codes.as_py())
+                held += len(texts[-1]) // 8
                 if held >= 1 << 16:
                     yield from score(heads, texts)
                     heads, texts, held = [], [], 0
         if heads:
             yield from score(heads, texts)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs["doc_id"].cast("long").alias("doc_id"),
-                       held_out(docs).cast("int").alias("held"), docs["text"].cast("string").alias("text"))
     return rows.mapInArrow(run, _SCORED_DDL)
 
 
 def score_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``."""
     s = settings
-    training = docs.where(~held_out(docs)).select(docs["text"].cast("string").alias("text"))
+    rows = coded(docs)
+    training = rows.where("held = 0").select("codes")
     counts = cut(token_counts(training))
     v = vocabulary(counts, s)
     model = fresh(v, s)
     for turn in range(s.rounds):
         model = train_round(training, model, v, s, turn)
-    rows = partial_scores(docs, model, v, s).join(counts, "h", "left")
-    ending = F.col("h").bitwiseAND(F.lit(_LOW)).cast("int")
-    known = F.get(F.lit(v.class_log.tolist()), ending)
-    unseen = F.get(F.lit(v.unseen_log.tolist()), ending)
-    rare, tf = F.col("sum").isNull(), F.col("tf")
-    c = F.col("c")
-    out = rows.select(
+    scored = partial_scores(rows, model, v, s).join(counts, "h", "left")
+    rare, tf, c = F.col("sum").isNull(), F.col("tf"), F.col("c")
+    seen = F.when(c.isNotNull() & F.col("more").isNotNull(), tf * (F.log10(c) + F.col("more"))).otherwise(F.lit(0.0))
+    out = scored.select(
         "uid", *(F.col(f"sum.{x}").alias(x) for x in ("doc_id", "held", "n_tokens")),
         F.when(rare, F.when(c.isNotNull(), tf).otherwise(F.lit(0))).otherwise(F.col("sum.n_known")).alias("n_known"),
         F.when(rare, tf * F.log10((F.coalesce(c, F.lit(0)) + 0.5) / F.lit(float(v.spread)))).otherwise(
             F.col("sum.base")).alias("base"),
-        F.when(rare, tf * F.when(c.isNotNull(), F.log10(c) + known).otherwise(unseen)).otherwise(
-            F.col("sum.lm")).alias("lm"))
+        F.when(rare, seen).otherwise(F.col("sum.lm")).alias("lm"))
     return out.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), (F.max("held") == 1).alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.lit(int(v.total)).cast("long").alias("train_tokens"),

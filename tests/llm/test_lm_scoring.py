@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from stratus.llm import lm_scoring as lm
 
@@ -35,7 +36,7 @@ def base_scores(pairs):
 
 def test_counts_and_base_score_equal_brute_force_and_model_is_better(documents):
     pairs = corpus()
-    for settings in (lm.Settings(rounds=2, stride=1, batch=128, words=32), lm.Settings(rounds=1, known=4, words=8)):
+    for settings in (lm.Settings(rounds=2, batch=128), lm.Settings(known=4, words=0.2)):
         got = {r.doc_id: r for r in lm.score_texts(documents(pairs), settings).collect()}
         total, want = base_scores(pairs)
         for k, (i, _) in enumerate(pairs):
@@ -44,36 +45,99 @@ def test_counts_and_base_score_equal_brute_force_and_model_is_better(documents):
             assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), n, known, total)
             assert abs(r.base_score - base) < 1e-6 * abs(base)
             assert r.score < 0
-        if settings.stride == 1:
+        if settings.rounds == 2:
             out = [r for r in got.values() if r.held_out]
             assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def plain_score(text, model, v, counts):
+    """The model's score of one text, token by token and class by class."""
+    codes = lm.token_codes(text, lm.Features())
+    total = 0.0
+    for k, code in enumerate(codes):
+        q = np.zeros(model.places.shape[1])
+        for i, place in enumerate(model.places):
+            before = v.units if k - 1 - i < 0 else int(v.unit_ids(codes[k - 1 - i:k - i])[0])
+            q += model.context[before].astype(float) * place
+        unit = int(v.unit_ids(codes[k:k + 1])[0])
+        own = int(np.searchsorted(v.starts, unit, side="right")) - 1
+        for table, chosen in ((model.outer, own), (model.inner[v.starts[own]:v.starts[own + 1]], unit - v.starts[own])):
+            powers = [math.exp(row[:-1].astype(float) @ q + float(row[-1])) for row in table]
+            total += math.log10(powers[chosen] / sum(powers))
+        if v.share_log[unit]:  # a cell of rarer tokens
+            c = counts.get(int(code.view(np.int64)))
+            total += v.unseen_log[unit] if c is None else math.log10(c) + v.share_log[unit]
+    return total
+
+
+def test_scores_equal_a_plain_scorer(documents, monkeypatch):
+    pairs = [*corpus(60), (500, None), (501, ""), (502, "never seen, never!"), (503, "A a A a. B"), (None, "xa1xa xa2xa")]
+    for settings in (lm.Settings(batch=64), lm.Settings(batch=64, known=0, block=7), lm.Settings(rounds=2, known=30, words=0.3)):
+        seen = {}
+        true = lm.partial_scores
+        monkeypatch.setattr(lm, "partial_scores", lambda rows, m, v, s: seen.update(m=m, v=v) or true(rows, m, v, s))
+        docs = documents(pairs)
+        got = {r.doc_id: r.score for r in lm.score_texts(docs, settings).collect()}
+        monkeypatch.undo()
+        counts = Counter(int(c) for i, t in pairs if not held(i) for c in lm.token_codes(t, lm.Features()).view(np.int64))
+        for i, t in pairs:
+            assert abs(got[i] - plain_score(t, seen["m"], seen["v"], counts)) < 1e-3 * max(1, abs(got[i]))
+
+
 def test_probabilities_add_up_to_one(documents):
-    pairs = corpus(120)
-    texts = documents(pairs).select("text")
-    s = lm.Settings(words=16, stride=2, batch=64)
-    counts = lm.cut(lm.token_counts(texts))
+    rows = lm.coded(documents(corpus(120)))
+    s = lm.Settings(batch=64)
+    counts = lm.cut(lm.token_counts(rows))
     v = lm.vocabulary(counts, s)
-    model = lm.train_round(texts, lm.fresh(v, s), v, s, 0)
+    model = lm.train_round(rows, lm.fresh(v, s), v, s, 0)
     rng = np.random.default_rng(0)
-    around = np.repeat(rng.integers(0, v.classes + 1, (5, s.context)), v.classes, axis=0)
-    logs = lm.class_logs(model, around, np.tile(np.arange(v.classes), 5), 64)
+    around = np.repeat(rng.integers(0, v.units + 1, (5, s.context)), v.units, axis=0)
+    logs = lm.unit_logs(model, v, around, np.tile(np.arange(v.units), 5), 64)
     assert np.allclose((10 ** logs).reshape(5, -1).sum(axis=1), 1, atol=1e-5)
-    # within a shared class: known tokens by their counts, and one share for unseen ones
-    rows = counts.toPandas()
-    own = set(v.own.view(np.int64).tolist())
-    for g in range(lm.ENDINGS):
-        inside = rows[[(h & (lm.ENDINGS - 1)) == g and h not in own for h in rows.h]]
-        if len(inside):
-            assert abs((10 ** v.class_log[g] * inside.c).sum() + 10 ** v.unseen_log[g] - 1) < 1e-9
+    # in a cell: known tokens by their counts, and one share for unseen ones; a frequent token is a unit by itself
+    table = counts.toPandas()
+    units = v.unit_ids(table.h.to_numpy().view(np.uint64))
+    for u in range(v.units):
+        inside = table[units == u]
+        if v.share_log[u] and len(inside):
+            assert abs((10 ** v.share_log[u] * inside.c).sum() + 10 ** v.unseen_log[u] - 1) < 1e-9
+        elif not v.share_log[u]:
+            assert len(inside) == 1
+
+
+def test_every_place_is_a_target_and_the_model_grows(documents, monkeypatch):
+    sizes = []
+    for n in (60, 480):
+        rows = lm.coded(documents(corpus(n)).coalesce(1))
+        counts = lm.cut(lm.token_counts(rows))
+        v, s = lm.vocabulary(counts, lm.Settings()), lm.Settings(batch=100)
+        assert len(v.own) == min(math.ceil(v.total ** 0.5), v.distinct)
+        sizes.append((len(v.own), v.units))
+        codes = np.concatenate([np.frombuffer(r.codes, np.uint64) for r in rows.collect()])
+        met = Counter()
+        trainer = lm.Trainer(lm.fresh(v, s), v, s, (0, 0))
+        monkeypatch.setattr(trainer, "step", lambda around, unit, own: met.update(unit.tolist()))
+        monkeypatch.setattr(lm, "Trainer", lambda *a: trainer)
+        lm._train(iter([pa.RecordBatch.from_pylist([{"codes": r.codes} for r in rows.collect()])]), None, v, s, (0, 0))
+        monkeypatch.undo()
+        assert met == Counter(v.unit_ids(codes).tolist())
+    assert sizes[0][0] < sizes[1][0] and sizes[0][1] < sizes[1][1]
+
+
+def test_noise_differs_by_partition_and_a_rerun_does_not(documents):
+    rows = lm.coded(documents(corpus(80)).repartition(3, "doc_id"))
+    s = lm.Settings(batch=64)
+    v = lm.vocabulary(lm.cut(lm.token_counts(rows)), s)
+    one, two = (lm.train_round(rows, lm.fresh(v, s), v, s, 0) for _ in range(2))
+    assert all((a == b).all() for a, b in zip(one.tables(), two.tables(), strict=True))
+    a, b = (lm.Trainer(lm.fresh(v, s), v, s, (0, k)).rng.random(4).tolist() for k in (0, 1))
+    assert a != b
 
 
 def test_contexts_of_texts():
     ids = np.array([5, 6, 7, 8, 9])
-    got = lm.text_contexts(ids, np.array([0, 3]), np.array([3, 2]), 2, 99)
+    got = lm.text_contexts(ids, np.array([3, 2]), 2, 99)
     assert got.tolist() == [[99, 99], [5, 99], [6, 5], [99, 99], [8, 99]]
-    assert lm.contexts(ids[:3], np.array([0, 2]), 2, 99).tolist() == [[99, 99], [6, 5]]
 
 
 def test_edge_rows(documents):
