@@ -58,14 +58,16 @@ _hash = xxhash.xxh3_64_intdigest
 class Settings:
     words: float = 0.5     # the frequent tokens are the number of training tokens to this power
     context: int = 4
-    size: int = 32         # dimensions
+    size: int = 16         # dimensions
     rounds: int = 1        # passes over all places of the training documents
-    batch: int = 1024      # targets in a training step
-    noise: int = 48        # noise classes in a step
-    inner: int = 4         # noise units of its class for each target
-    rate: float = 0.05     # of Adagrad
+    batch: int = 2048      # targets in a training step
+    strip: int = 16        # places in a row that a step takes together
+    noise: int = 32        # noise classes in a step
+    inner: int = 1         # noise units of its class for each target
+    copies: float = 600.0  # the model's copies are the root of the training tokens over this
+    rate: float = 0.1      # of Adagrad
     known: int = 1 << 18   # tokens whose counts every task holds (16 bytes each)
-    block: int = 4096      # tokens scored in one matrix product
+    block: int = 1024      # tokens scored in one matrix product
 
 
 class Features(dict):
@@ -81,7 +83,7 @@ class Features(dict):
 
 
 def _codes(words: list[bytes], features: Features) -> np.ndarray:
-    return np.array([features[w] for w in words], np.uint64)
+    return np.fromiter(map(features.__getitem__, words), np.uint64, len(words))
 
 
 END = _codes([b"\n"], Features())  # no word contains white space
@@ -152,6 +154,7 @@ class Vocabulary:
     known: np.ndarray       # sorted codes with known counts
     known_log: np.ndarray   # log10 of their counts
     known_base: np.ndarray  # log10 of their smoothed shares
+    unit_base: np.ndarray   # log10 of the smoothed share of each unit that is a token
     share_log: np.ndarray   # log10 of (1 - unseen share) / count, per unit that is a cell; 0 for tokens
     unseen_log: np.ndarray  # log10 of the unseen share, per unit that is a cell
 
@@ -187,7 +190,7 @@ class Vocabulary:
 
 def _beginnings(bits: int) -> int:
     """Bits of the beginning that tell the cells of a class apart."""
-    return max(0, min(_BEGIN_BITS, bits - 1))
+    return max(0, min(_BEGIN_BITS, bits - 2))
 
 
 def _cell(codes: np.ndarray, bits: int) -> np.ndarray:
@@ -207,7 +210,7 @@ def vocabulary(counts: DataFrame, s: Settings) -> Vocabulary:
     row = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = row["n"] or 0, row["v"]
     words = math.ceil(total ** s.words)
-    bits = min(_END_BITS, max(1, math.ceil(math.log2(max(2, 2 * words)) / 2)))
+    bits = min(_END_BITS, max(1, round(math.log2(max(2, 2 * words)) / 2)))
     more = _beginnings(bits)
     top, top_counts = _columns(counts.orderBy(F.desc("c"), "h").limit(words))
     # tokens by the power of two of their count: at most 63 rows; as many powers as fit are held
@@ -238,12 +241,14 @@ def vocabulary(counts: DataFrame, s: Settings) -> Vocabulary:
     share, new = np.zeros(len(order)), np.zeros(len(order))
     share[place[:sums.shape[1]]] = np.log10((1 - unseen) / np.maximum(sums[0], 1))
     new[place[:sums.shape[1]]] = np.log10(unseen)
+    unit_base = np.zeros(len(order))
+    unit_base[place[sums.shape[1]:]] = np.log10((top_counts + 0.5) / (total + 0.5 * (distinct + 1)))
     order_own, order_known = np.argsort(own), np.argsort(known.view(np.uint64))
     return Vocabulary(
         total, distinct, bits, own[order_own], place[sums.shape[1]:][order_own], place[:sums.shape[1]],
         np.searchsorted(every[order], np.arange((1 << bits) + 1)), masses[order] / masses.sum(),
         known.view(np.uint64)[order_known], np.log10(np.maximum(known_counts[order_known], 1)),
-        np.log10((known_counts[order_known] + 0.5) / (total + 0.5 * (distinct + 1))), share, new)
+        np.log10((known_counts[order_known] + 0.5) / (total + 0.5 * (distinct + 1))), unit_base, share, new)
 
 
 # -- model ----------------------------------------------------------------
@@ -281,15 +286,15 @@ def fresh(v: Vocabulary, s: Settings) -> Model:
                  small(v.classes, np.log(outer)), small(v.units, np.log(v.prior / outer[own_class])))
 
 
-def text_contexts(ids: np.ndarray, sizes: np.ndarray, n: int, before: int) -> np.ndarray:
-    """Units at the n places before each place of texts that follow one another in ``ids``."""
-    out = np.full((len(ids), n), before, np.int32)
-    starts = np.cumsum(sizes) - sizes
-    place = np.arange(len(ids)) - np.repeat(starts, sizes)
-    for i in range(n):
-        inside = np.flatnonzero(place > i)
-        out[inside, i] = ids[inside - i - 1]
-    return out
+def padded(ids: np.ndarray, sizes: np.ndarray, n: int, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts that follow one another in ``ids``, n times ``before`` in front of each; and the tokens' places there.
+
+    The n tokens before a place are then its context, also at the start of a text.
+    """
+    places = np.arange(len(ids)) + n * (1 + np.repeat(np.arange(len(sizes)), sizes))
+    out = np.full(len(ids) + n * len(sizes), before, np.int64)
+    out[places] = ids
+    return out, places
 
 
 def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -307,52 +312,86 @@ class Trainer:
         prior = class_prior(v)
         self.outer_sums = np.cumsum(prior)
         self.outer_noise = np.log(s.noise * prior).astype(np.float32)
-        own_class = v.class_of(np.arange(v.units))
-        self.inner_noise = np.log(s.inner * v.prior / prior[own_class]).astype(np.float32)
-        self.sums = np.concatenate([[0], np.cumsum(v.prior)])
-        self.squares = [np.full_like(x, 0.1) for x in self.m.tables()]
-        self.met = [np.zeros(len(x)) for x in self.m.tables()]
-
-    def step(self, around: np.ndarray, unit: np.ndarray, own: np.ndarray) -> None:
-        """One ascent step of both levels' contrastive objectives on a batch of targets (their units and classes)."""
+        self.own = v.class_of(np.arange(v.units))
+        self.first, self.room, self.drawn = draws(v)
+        times = np.bincount(self.drawn, minlength=v.units)
+        self.inner_noise = np.log(s.inner * times / self.room[self.own]).astype(np.float32)
+        self.squares = [np.full(len(x), 0.1, np.float32) for x in self.m.tables()]  # one rate per vector
+        self.met = [np.zeros(len(x), np.int64) for x in self.m.tables()]
+
+    def step(self, strips: np.ndarray) -> None:
+        """One ascent step of both levels' contrastive objectives; strips (rows) of a padded sequence, each with the
+        context of its first target in front. Neighbouring targets share the vectors of their contexts."""
         m, s, rng = self.m, self.s, self.rng
-        vectors = m.context[around]                                   # batch, places, size
+        n, size = s.context, strips.shape[1] - s.context
+        targets = strips[:, n:].ravel()
+        kept = np.flatnonzero(targets < self.v.units)
+        if not len(kept):
+            return
+        unit = targets[kept]
+        own = self.own[unit]
+        vectors = m.context[strips]                                    # strips, places, size
+        mixed = vectors[:, n - 1:n - 1 + size] * m.places[0]
+        for i in range(1, n):
+            mixed += vectors[:, n - 1 - i:n - 1 - i + size] * m.places[i]
         q = np.empty((len(unit), s.size + 1), np.float32)             # with a 1 for the bias
-        np.einsum("bpd,pd->bd", vectors, m.places, out=q[:, :-1])
+        q[:, :-1] = mixed.reshape(-1, s.size)[kept]
         q[:, -1] = 1
         # classes against noise classes that the batch shares
         noise = np.minimum(np.searchsorted(self.outer_sums, rng.random(s.noise) * self.outer_sums[-1]), len(m.outer) - 1)
         true, false = m.outer[own], m.outer[noise]
-        good = _pull((q * true).sum(axis=1) - self.outer_noise[own])
+        good = _pull((q * true).sum(axis=1) - self.outer_noise[own])[:, None]
         bad = -_pull(self.outer_noise[noise] - q @ false.T)
+        dq = good * true
+        dq += bad @ false
+        self._add(2, np.concatenate([own, noise]), np.concatenate([good * q, bad.T @ q]))
         # units against noise units of the same class
-        low, high = self.sums[self.v.starts[own]][:, None], self.sums[self.v.starts[own + 1]][:, None]
-        others = np.searchsorted(self.sums, low + rng.random((len(unit), s.inner)) * (high - low), side="right") - 1
-        others = np.clip(others, self.v.starts[own][:, None], self.v.starts[own + 1][:, None] - 1)
-        true_in, false_in = m.inner[unit], m.inner[others]
-        good_in = _pull((q * true_in).sum(axis=1) - self.inner_noise[unit])
-        bad_in = -_pull(self.inner_noise[others] - np.einsum("bd,bkd->bk", q, false_in))
-        dq = good[:, None] * true + bad @ false + good_in[:, None] * true_in + np.einsum("bk,bkd->bd", bad_in, false_in)
-        dq = dq[:, :-1]
-        self._add(2, np.concatenate([own, noise]), np.concatenate([good[:, None] * q, bad.T @ q]))
-        self._add(3, np.concatenate([unit, others.ravel()]),
-                  np.concatenate([good_in[:, None] * q, (bad_in[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])]))
-        d_places = np.einsum("bd,bpd->pd", dq, vectors)
-        self._add(0, around.ravel(), (dq[:, None, :] * m.places).reshape(-1, s.size))
-        self._add(1, np.arange(s.context), d_places)
+        true = m.inner[unit]
+        good = _pull((q * true).sum(axis=1) - self.inner_noise[unit])[:, None]
+        dq += good * true
+        ids, rows = [unit], [good * q]
+        for _ in range(s.inner):
+            other = self.drawn[self.first[own] + (rng.random(len(own), np.float32) * self.room[own]).astype(np.int64)]
+            false = m.inner[other]
+            bad = -_pull(self.inner_noise[other] - (q * false).sum(axis=1))[:, None]
+            dq += bad * false
+            ids.append(other)
+            rows.append(bad * q)
+        self._add(3, np.concatenate(ids), np.concatenate(rows))
+        mixed[:] = 0
+        mixed.reshape(-1, s.size)[kept] = dq[:, :-1]
+        d_context, d_places = np.zeros_like(vectors), np.empty_like(m.places)
+        for i in range(n):
+            before = slice(n - 1 - i, n - 1 - i + size)
+            d_places[i] = np.einsum("spd,spd->d", mixed, vectors[:, before])
+            d_context[:, before] += mixed * m.places[i]
+        self._add(0, strips.ravel(), d_context.reshape(-1, s.size))
+        self._add(1, np.arange(n), d_places)
 
     def _add(self, table: int, ids: np.ndarray, rows: np.ndarray) -> None:
         x, squares, met = self.m.tables()[table], self.squares[table], self.met[table]
-        ids, n, d = _summed(ids, rows)
-        total = squares[ids] + d * d
+        ids, n, d = _summed(ids if len(x) > 1 << 16 else ids.astype(np.uint16), rows)
+        total = squares[ids] + np.einsum("bd,bd->b", d, d) / d.shape[1]
         squares[ids] = total
-        x[ids] += self.s.rate * d / np.sqrt(total)
+        d *= (self.s.rate / np.sqrt(total))[:, None]
+        x[ids] += d
         met[ids] += n
 
 
+def draws(v: Vocabulary, per: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units to draw noise from, each as often as its share of its class asks for (at least once): places of a class and
+    how many, and the units at these places; ``per``: places per unit of a class, on average."""
+    own = v.class_of(np.arange(v.units))
+    size = np.diff(v.starts)
+    share = v.prior / class_prior(v)[own]
+    times = np.maximum(1, np.round(share * size[own] * per)).astype(np.int64)
+    room = np.add.reduceat(times, v.starts[:-1])
+    return np.cumsum(room) - room, room, np.repeat(np.arange(v.units), times)
+
+
 def _pull(x: np.ndarray) -> np.ndarray:
     """1 - the logistic function."""
-    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+    return 1 / (1 + np.exp(np.minimum(x, 30)))
 
 
 def _texts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -372,13 +411,18 @@ def _texts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.nd
 def _train(batches: Iterator[pa.RecordBatch], model: Model, v: Vocabulary, s: Settings, seed: tuple[int, ...]) -> Trainer:
     """A copy of the model, trained at every place of the texts."""
     trainer = Trainer(model, v, s, seed)
+    n = s.context
     for codes, sizes in _texts(batches, 64 * s.batch):
-        units = v.unit_ids(codes)
-        around, own = text_contexts(units, sizes, s.context, v.units), v.class_of(units)
-        order = trainer.rng.permutation(len(units))
-        for i in range(0, len(order), s.batch):
-            part = order[i:i + s.batch]
-            trainer.step(around[part], units[part], own[part])
+        sequence, _ = padded(v.unit_ids(codes), sizes, n, v.units)
+        starts = np.arange(n, len(sequence), s.strip)
+        strips = np.full((len(starts), n + s.strip), v.units)
+        for k in range(n + s.strip):
+            inside = starts + k - n < len(sequence)
+            strips[inside, k] = sequence[starts[inside] + k - n]
+        order = trainer.rng.permutation(len(strips))
+        per = max(1, s.batch // s.strip)
+        for i in range(0, len(order), per):
+            trainer.step(strips[order[i:i + per]])
     return trainer
 
 
@@ -398,7 +442,7 @@ def train_round(texts: DataFrame, model: Model, v: Vocabulary, s: Settings, turn
                 some = hit[i:i + 4096]
                 vectors = [(x[k].astype(np.float64) * met[k]).astype(np.float32).tobytes() for k in some]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(some + starts[table], pa.int32()), pa.array(met[some]), pa.array(vectors, pa.binary())], schema=schema)
+                    pa.array(some + starts[table], pa.int32()), pa.array(met[some].astype(np.float64)), pa.array(vectors, pa.binary())], schema=schema)
 
     def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, weight, total = None, 0.0, None
@@ -421,7 +465,8 @@ def train_round(texts: DataFrame, model: Model, v: Vocabulary, s: Settings, turn
             yield _rows(done, schema)
 
     ddl = "row int, weight double, vector binary"
-    copies = cut(texts.select("codes").mapInArrow(run, ddl))
+    trainers = max(1, math.ceil(math.sqrt(v.total) / s.copies))  # so that all copies together grow with the corpus
+    copies = cut(texts.select("codes").coalesce(trainers).mapInArrow(run, ddl))
     means = copies.repartition("row").sortWithinPartitions("row", "weight", "vector").mapInArrow(mean, ddl)
     out = model.copy()
     got = means.select("row", "vector").toArrow()  # at most one row per vector of the model
@@ -436,32 +481,41 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def unit_logs(model: Model, v: Vocabulary, around: np.ndarray, units: np.ndarray, block: int) -> np.ndarray:
-    """log10 P(class | context) + log10 P(unit | class, context), normalised over all classes and all units of the class."""
-    own = v.class_of(units)
-    q = np.empty((len(units), model.places.shape[1] + 1), np.float32)
+def unit_logs(model: Model, v: Vocabulary, units: np.ndarray, sizes: np.ndarray, block: int) -> np.ndarray:
+    """log10 P(class | context) + log10 P(unit | class, context) of each token of texts that follow one another,
+    normalised over all classes and all units of the class."""
+    n = len(model.places)
+    sequence, at = padded(units, sizes, n, v.units)
+    vectors = model.context[sequence]
+    mixed = np.zeros_like(vectors)
+    for i in range(n):
+        mixed[i + 1:] += vectors[:-1 - i] * model.places[i]
+    q = np.empty((len(units), mixed.shape[1] + 1), np.float32)
+    q[:, :-1] = mixed[at]
     q[:, -1] = 1
-    q[:, :-1] = model.context[around[:, 0]] * model.places[0]
-    for i in range(1, len(model.places)):
-        q[:, :-1] += model.context[around[:, i]] * model.places[i]
-    out = np.empty(len(units))
+    own = v.class_of(np.arange(v.units))[units]
+    widest = np.sqrt(np.einsum("bd,bd->b", q, q).max(initial=0))
+    safe = all(widest * np.sqrt(np.einsum("bd,bd->b", x, x).max()) < 80 for x in (model.outer, model.inner))
+    out, outer = np.empty(len(units)), np.ascontiguousarray(model.outer.T)
     for i in range(0, len(units), block):
-        out[i:i + block] = _log_softmax(q[i:i + block] @ model.outer.T, own[i:i + block])
-    order = np.argsort(own, kind="stable")
+        out[i:i + block] = _log_softmax(q[i:i + block] @ outer, own[i:i + block], safe)
+    order = np.argsort(own.astype(np.uint16), kind="stable")
     edges = np.searchsorted(own[order], np.arange(v.classes + 1))
     for k in np.flatnonzero(np.diff(edges)):
+        inside = np.ascontiguousarray(model.inner[v.starts[k]:v.starts[k + 1]].T)
         for i in range(edges[k], edges[k + 1], block):
             some = order[i:min(i + block, edges[k + 1])]
-            inside = model.inner[v.starts[k]:v.starts[k + 1]]
-            out[some] += _log_softmax(q[some] @ inside.T, units[some] - v.starts[k])
+            out[some] += _log_softmax(q[some] @ inside, units[some] - v.starts[k], safe)
     return out / math.log(10)
 
 
-def _log_softmax(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+def _log_softmax(scores: np.ndarray, chosen: np.ndarray, safe: bool) -> np.ndarray:
+    """ln of the chosen entries' shares; ``safe``: no power can overflow."""
+    if not safe:
+        scores -= scores.max(axis=1, keepdims=True)
     picked = scores[np.arange(len(chosen)), chosen]
     np.exp(scores, out=scores)
-    return picked - np.log(scores.sum(axis=1))
+    return picked - np.log(scores @ np.ones(scores.shape[1], np.float32))
 
 
 # -- scoring --------------------------------------------------------------
@@ -488,28 +542,29 @@ def partial_scores(rows: DataFrame, model: Model, v: Vocabulary, s: Settings) ->
             sizes = np.array([len(x) // 8 for x in texts])
             starts = np.cumsum(sizes) - sizes
             units = voc.unit_ids(tokens)
-            lm = unit_logs(m, voc, text_contexts(units, sizes, s.context, voc.units), units, s.block)
-            has, at = voc.find(tokens)
-            in_cell = has & (voc.share_log[units] != 0)
-            lm[in_cell] += voc.known_log[at[in_cell]] + voc.share_log[units[in_cell]]
-            frequent = has | (voc.share_log[units] == 0)
-            lm[~frequent] += voc.unseen_log[units[~frequent]]
-            base = np.zeros(len(tokens))
-            base[has] = voc.known_base[at[has]]
-            sums = [np.add.reduceat(x, starts) for x in (has.astype(np.int64), base, lm)]
-            rest = np.flatnonzero(~has)
+            lm = unit_logs(m, voc, units, sizes, s.block)
+            base = voc.unit_base[units]
+            rarer = np.flatnonzero(voc.share_log[units])  # tokens in cells
+            held, at = voc.find(tokens[rarer])
+            rest, rarer = rarer[~held], rarer[held]
+            base[rarer] = voc.known_base[at[held]]
+            lm[rarer] += voc.known_log[at[held]] + voc.share_log[units[rarer]]
+            lm[rest] += voc.unseen_log[units[rest]]
+            has = np.ones(len(tokens), np.int64)
+            has[rest] = 0
+            sums = [np.add.reduceat(x, starts) for x in (has, base, lm)]
             owner, rest_codes = np.repeat(np.arange(len(sizes)), sizes)[rest], tokens[rest]
-            gain = np.where(frequent[rest], np.nan, voc.share_log[units[rest]] - voc.unseen_log[units[rest]])
+            gain = voc.share_log[units[rest]] - voc.unseen_log[units[rest]]
             order = np.lexsort((rest_codes, owner))
             owner, rest_codes, gain = owner[order], rest_codes[order], gain[order]
             first = np.ones(len(owner), bool)
             first[1:] = (owner[1:] != owner[:-1]) | (rest_codes[1:] != rest_codes[:-1])
             at = np.flatnonzero(first)
             tf = np.diff(np.append(at, len(owner)))
-            uid, doc_id, held = zip(*heads, strict=True)
+            uid, doc_id, own = zip(*heads, strict=True)
             uids = np.array(uid, np.int64)
             summary = pa.StructArray.from_arrays([
-                pa.array(doc_id, pa.int64()), pa.array(held, pa.int32()), pa.array(sizes, pa.int64()),
+                pa.array(doc_id, pa.int64()), pa.array(own, pa.int32()), pa.array(sizes, pa.int64()),
                 *(pa.array(x) for x in sums)], fields=list(_SCORED.field("sum").type))
             blank = np.zeros(len(uids), np.int64)
             spread = (uids * -7046029254386353131)  # where a summary goes does not matter
@@ -518,7 +573,7 @@ def partial_scores(rows: DataFrame, model: Model, v: Vocabulary, s: Settings) ->
             if len(at):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(uids[owner[at]]), pa.array(rest_codes[at].view(np.int64)), pa.array(tf, pa.int64()),
-                    pa.array(gain[at], from_pandas=True), pa.nulls(len(at), _SCORED.field("sum").type)], schema=_SCORED)
+                    pa.array(gain[at]), pa.nulls(len(at), _SCORED.field("sum").type)], schema=_SCORED)
 
         heads, texts, held = [], [], 0
         for batch in batches:
@@ -548,7 +603,7 @@ def score_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         model = train_round(training, model, v, s, turn)
     scored = partial_scores(rows, model, v, s).join(counts, "h", "left")
     rare, tf, c = F.col("sum").isNull(), F.col("tf"), F.col("c")
-    seen = F.when(c.isNotNull() & F.col("more").isNotNull(), tf * (F.log10(c) + F.col("more"))).otherwise(F.lit(0.0))
+    seen = F.when(c.isNotNull(), tf * (F.log10(c) + F.col("more"))).otherwise(F.lit(0.0))
     out = scored.select(
         "uid", *(F.col(f"sum.{x}").alias(x) for x in ("doc_id", "held", "n_tokens")),
         F.when(rare, F.when(c.isNotNull(), tf).otherwise(F.lit(0))).otherwise(F.col("sum.n_known")).alias("n_known"),

@@ -91,9 +91,10 @@ def test_probabilities_add_up_to_one(documents):
     v = lm.vocabulary(counts, s)
     model = lm.train_round(rows, lm.fresh(v, s), v, s, 0)
     rng = np.random.default_rng(0)
-    around = np.repeat(rng.integers(0, v.units + 1, (5, s.context)), v.units, axis=0)
-    logs = lm.unit_logs(model, v, around, np.tile(np.arange(v.units), 5), 64)
-    assert np.allclose((10 ** logs).reshape(5, -1).sum(axis=1), 1, atol=1e-5)
+    for before in rng.integers(0, v.units, (5, s.context)):
+        texts = np.concatenate([np.append(before, u) for u in range(v.units)])  # the same context, each unit after it
+        logs = lm.unit_logs(model, v, texts, np.full(v.units, s.context + 1), 64)
+        assert abs((10 ** logs[s.context::s.context + 1]).sum() - 1) < 1e-5
     # in a cell: known tokens by their counts, and one share for unseen ones; a frequent token is a unit by itself
     table = counts.toPandas()
     units = v.unit_ids(table.h.to_numpy().view(np.uint64))
@@ -116,10 +117,11 @@ def test_every_place_is_a_target_and_the_model_grows(documents, monkeypatch):
         codes = np.concatenate([np.frombuffer(r.codes, np.uint64) for r in rows.collect()])
         met = Counter()
         trainer = lm.Trainer(lm.fresh(v, s), v, s, (0, 0))
-        monkeypatch.setattr(trainer, "step", lambda around, unit, own: met.update(unit.tolist()))
+        monkeypatch.setattr(trainer, "step", lambda strips: met.update(strips[:, s.context:].ravel().tolist()))
         monkeypatch.setattr(lm, "Trainer", lambda *a: trainer)
         lm._train(iter([pa.RecordBatch.from_pylist([{"codes": r.codes} for r in rows.collect()])]), None, v, s, (0, 0))
         monkeypatch.undo()
+        met.pop(v.units)  # places before and after texts
         assert met == Counter(v.unit_ids(codes).tolist())
     assert sizes[0][0] < sizes[1][0] and sizes[0][1] < sizes[1][1]
 
@@ -136,8 +138,22 @@ def test_noise_differs_by_partition_and_a_rerun_does_not(documents):
 
 def test_contexts_of_texts():
     ids = np.array([5, 6, 7, 8, 9])
-    got = lm.text_contexts(ids, np.array([3, 2]), 2, 99)
-    assert got.tolist() == [[99, 99], [5, 99], [6, 5], [99, 99], [8, 99]]
+    sequence, places = lm.padded(ids, np.array([3, 2]), 2, 99)
+    assert sequence.tolist() == [99, 99, 5, 6, 7, 99, 99, 8, 9] and sequence[places].tolist() == ids.tolist()
+
+
+def test_a_step_follows_the_gradient(documents):
+    """Small steps raise the contrastive objective, so targets gain on noise."""
+    rows = lm.coded(documents(corpus(40)))
+    s = lm.Settings(batch=256, rate=0.05)
+    v = lm.vocabulary(lm.cut(lm.token_counts(rows)), s)
+    codes = [np.frombuffer(r.codes, np.uint64) for r in rows.collect()]
+    units, sizes = v.unit_ids(np.concatenate(codes)), np.array([len(c) for c in codes])
+    start = lm.fresh(v, s)
+    batch = pa.RecordBatch.from_pylist([{"codes": c.tobytes()} for c in codes])
+    before = lm.unit_logs(start, v, units, sizes, 512).sum()
+    after = [lm.unit_logs(lm._train(iter([batch] * n), start, v, s, (0, 0)).m, v, units, sizes, 512).sum() for n in (1, 4)]
+    assert before < after[0] < after[1]
 
 
 def test_edge_rows(documents):
