@@ -56,18 +56,23 @@ def to_bytes(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def word_slices(text: str, lower: bool = True) -> Iterator[list[bytes]]:
-    """Words of ``text`` (A-Z lower-cased, or as they stand), a bounded number of bytes at a time."""
+def text_slices(text: str, lower: bool = True) -> Iterator[bytes]:
+    """``text`` (A-Z lower-cased, or as it stands) in pieces of a bounded number of bytes, cut between words."""
     data = to_bytes(text).lower() if lower else to_bytes(text)
     start, size = 0, len(data)
     while start < size:
         end = start + SLICE_BYTES
         gap = _space.search(data, end) if end < size else None
         end = gap.start() if gap else size
-        yield data[start:end].split()
+        yield data[start:end]
         start = end
 
 
+def word_slices(text: str, lower: bool = True) -> Iterator[list[bytes]]:
+    """Words of ``text``, a bounded number of bytes at a time."""
+    return (piece.split() for piece in text_slices(text, lower))
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """A 64-bit hash for each word of the whole text, in order."""
     if not text:

@@ -34,7 +34,6 @@ training rows all scores come from the smoothing terms. Other columns are not re
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, word_slices
+from .common import cut, text_slices
 
 # A token's code: 42 bits of its hash, 12 of its ending's and 10 of its beginning's.
 _END_BITS, _BEGIN_BITS = 12, 10
@@ -58,7 +57,7 @@ _hash = xxhash.xxh3_64_intdigest
 class Settings:
     words: float = 0.5     # the frequent tokens are the number of training tokens to this power
     context: int = 4
-    size: int = 16         # dimensions
+    size: int = 12         # dimensions
     rounds: int = 1        # passes over all places of the training documents
     batch: int = 2048      # targets in a training step
     strip: int = 16        # places in a row that a step takes together
@@ -70,27 +69,42 @@ class Settings:
     block: int = 1024      # tokens scored in one matrix product
 
 
-class Features(dict):
-    """word -> the low bits of its code; of words that were met before (forgotten together when there are many)."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        bare = word.rstrip(_MARKS) or word
-        ending, start = zlib.crc32(bare[-3:]) & ((1 << _END_BITS) - 1), zlib.crc32(bare[:3]) & ((1 << _BEGIN_BITS) - 1)
-        self[word] = value = (_hash(word) & int(_HASH)) | (ending << _BEGIN_BITS) | start
-        return value
+def _codes(data: bytes) -> np.ndarray:
+    """The codes of the words of a piece of text (A-Z lower-cased): hashes, and the word's first and last three bytes
+    mixed to the bits of beginning and ending; up to eight marks at the end are left aside."""
+    words = data.split()
+    if not words:
+        return np.empty(0, np.uint64)
+    line = b"\n".join(words)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = ends - sizes
+    at = np.frombuffer(b"\n\n" + line, np.uint8).astype(np.uint32)  # place k of the line is place k + 2
+    for _ in range(8):
+        marked = _MARK_TABLE[at[ends + 1]] & (ends - starts > 1)
+        if not marked.any():
+            break
+        ends = ends - marked
+    size = ends - starts
+    last, first = at[ends + 1], at[starts + 2]
+    for k in (1, 2):
+        inside = size > k
+        last = last * np.uint32(251) + np.where(inside, at[ends + 1 - k], 0).astype(np.uint32)
+        first = first * np.uint32(251) + np.where(inside, at[np.minimum(starts + 2 + k, len(at) - 1)], 0).astype(np.uint32)
+    low = (_spread(last, _END_BITS) << np.uint64(_BEGIN_BITS)) | _spread(first, _BEGIN_BITS)
+    return (np.fromiter(map(_hash, words), np.uint64, len(words)) & _HASH) | low
 
 
-def _codes(words: list[bytes], features: Features) -> np.ndarray:
-    return np.fromiter(map(features.__getitem__, words), np.uint64, len(words))
+def _spread(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x * np.uint32(2654435761) >> np.uint32(32 - bits)).astype(np.uint64)
 
 
-END = _codes([b"\n"], Features())  # no word contains white space
+_MARK_TABLE = np.isin(np.arange(256), np.frombuffer(_MARKS, np.uint8))
+END = np.array([_hash(b"\n")], np.uint64) & _HASH  # no word contains white space
 
 
-def token_codes(text: str | None, features: Features) -> np.ndarray:
-    return np.concatenate([*(_codes(words, features) for words in word_slices(text or "")), END])
+def token_codes(text: str | None) -> np.ndarray:
+    return np.concatenate([*(_codes(piece) for piece in text_slices(text or "")), END])
 
 
 def held_out(docs: DataFrame) -> Column:
@@ -102,11 +116,10 @@ def coded(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("held", pa.int32()), ("codes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                codes = [token_codes(x.as_py(), features).tobytes() for x in part.column(3)]
+                codes = [token_codes(x.as_py()).tobytes() for x in part.column(3)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(codes, pa.binary())], schema=schema)
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), docs["doc_id"].cast("long").alias("doc_id"),

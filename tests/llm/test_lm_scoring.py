@@ -52,7 +52,7 @@ def test_counts_and_base_score_equal_brute_force_and_model_is_better(documents):
 
 def plain_score(text, model, v, counts):
     """The model's score of one text, token by token and class by class."""
-    codes = lm.token_codes(text, lm.Features())
+    codes = lm.token_codes(text)
     total = 0.0
     for k, code in enumerate(codes):
         q = np.zeros(model.places.shape[1])
@@ -79,7 +79,7 @@ def test_scores_equal_a_plain_scorer(documents, monkeypatch):
         docs = documents(pairs)
         got = {r.doc_id: r.score for r in lm.score_texts(docs, settings).collect()}
         monkeypatch.undo()
-        counts = Counter(int(c) for i, t in pairs if not held(i) for c in lm.token_codes(t, lm.Features()).view(np.int64))
+        counts = Counter(int(c) for i, t in pairs if not held(i) for c in lm.token_codes(t).view(np.int64))
         for i, t in pairs:
             assert abs(got[i] - plain_score(t, seen["m"], seen["v"], counts)) < 1e-3 * max(1, abs(got[i]))
 
@@ -142,6 +142,19 @@ def test_contexts_of_texts():
     assert sequence.tolist() == [99, 99, 5, 6, 7, 99, 99, 8, 9] and sequence[places].tolist() == ids.tolist()
 
 
+def test_codes_tell_endings_and_beginnings():
+    def low(word):
+        code = int(lm.token_codes(word)[0])
+        return (code >> lm._BEGIN_BITS) & ((1 << lm._END_BITS) - 1), code & ((1 << lm._BEGIN_BITS) - 1)
+
+    assert low("walking") == low("walking,") == low('walking!")') and low("walking")[0] == low("ring")[0] != low("walked")[0]
+    assert low("walk")[1] == low("walking")[1] and low("a") != low("b") and low("...")
+    text = "Aa bb, \t.. c\n" * 50 + "é。" + "x" * 3000
+    codes = lm.token_codes(text)
+    each = [lm.token_codes(w)[0] for w in words(text)]
+    assert codes[:-1].tolist() == each and codes[-1] == lm.token_codes("")[0] and len(set(codes.tolist())) == 6
+
+
 def test_a_step_follows_the_gradient(documents):
     """Small steps raise the contrastive objective, so targets gain on noise."""
     rows = lm.coded(documents(corpus(40)))
