@@ -65,20 +65,36 @@ def null_or_nan(c: Column | str, data_type: DataType) -> Column:
     return c.isNull()
 
 
-def exact_mean(c: Column | str, over=None) -> Column:
-    """AVG of a DOUBLE measure, independent of the order of the rows.
-
-    The values are summed as DECIMAL with ten decimal places (measures have
-    far fewer), so partial sums add up exactly however rows are split across
-    tasks; the mean of the doubles can differ in its last bit and then round
-    differently. Where a value does not fit (NaN, infinity, 1e20 and more)
-    this is the plain AVG. ``over``: a window specification.
+#: How many columns :func:`exact_parts` gives.
+PARTS = 3
+_LOW, _HIGH = 1e9, 1e18
+
+
+def exact_parts(c: Column | str) -> list[Column]:
+    """Columns whose sums give the sum of the DOUBLE ``c``, however rows are split and ordered.
+
+    A value is taken as it is written in decimal: below 1e9 in size with 18 decimal places, below 1e18 with nine
+    (all that a DOUBLE of that size can have), each added up exactly as DECIMAL for up to 1e10 rows. What is left
+    (wider values, NaN, infinities and digits below 1e-18) is added up as DOUBLE, in the last column.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    exact = c.try_cast("decimal(30,10)")
+    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+    low = F.when(F.abs(c) < _LOW, c).otherwise(F.when(c.isNotNull(), F.lit(0.0))).cast("decimal(27,18)")
+    high = F.when((F.abs(c) >= _LOW) & (F.abs(c) < _HIGH), c).otherwise(F.when(c.isNotNull(), F.lit(0.0))).cast("decimal(27,9)")
+    rest = F.when(F.abs(c) < _LOW, c - low.cast("double")).when(F.abs(c) < _HIGH, F.lit(0.0)).otherwise(c)
+    return [low, high, rest]
+
 
-    def agg(column: Column) -> Column:
-        return column if over is None else column.over(over)
+def exact_total(sums: list[Column]) -> Column:
+    """The DOUBLE that the summed parts stand for (NULL sums count 0)."""
+    low, high, rest = (F.coalesce(s, F.lit(0)).cast("double") for s in sums)
+    return low + high + rest
 
-    misfits = agg(F.sum(F.when(c.isNotNull() & exact.isNull(), 1).otherwise(0)))
-    return F.when(misfits > 0, agg(F.avg(c))).otherwise(agg(F.sum(exact)).cast("double") / agg(F.count(exact)))
+
+def exact_mean(c: Column | str) -> Column:
+    """AVG of a DOUBLE measure, independent of the order of the rows and of how they are split across tasks.
+
+    The sum is exact but for its last rounding (see :func:`exact_parts`); plainly added doubles can differ in their
+    last bits and then round differently. One formula serves all values, so no value changes what others count.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(F.count(c) > 0, exact_total([F.sum(p) for p in exact_parts(c)]) / F.count(c))

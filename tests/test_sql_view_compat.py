@@ -84,3 +84,12 @@ def test_temperature_category_matches_python_rule(spark, xs):
 
     df = spark.createDataFrame([(v,) for v in xs], "t double")
     assert [r[0] for r in df.select(labels.temperature_category(F.col("t"))).collect()] == [rule(v) for v in xs]
+
+
+def test_small_and_wide_values_count_fully(spark):
+    rows = [(1, 1e-11), (1, 3e-11), (2, 123456789012.34), (2, -123456789012.3), (3, 1e300), (3, 1.0), (4, None), (5, 1e17), (5, 1.0),
+            (5, -1e17), (6, float("nan")), (6, 1.0), (7, 1e-30), (7, 3e-30), (8, 999999999.9), (8, 1000000000.1)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r.g: r.m for r in df.repartition(7).groupBy("g").agg(exact_mean("x").alias("m")).collect()}
+    assert got.pop(6) != got.get(6) and abs(got.pop(2) - 0.02) < 1e-12
+    assert got == {1: 2e-11, 3: 5e299, 4: None, 5: 1 / 3, 7: 2e-30, 8: 1e9}
