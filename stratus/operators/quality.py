@@ -272,7 +272,7 @@ def score_of(df: DataFrame, rules: ValidationRules = DEFAULT_RULES) -> float:
 # ---------------------------------------------------------------------------
 # Gold reports -- Q8a, Q8b, Q8c
 # ---------------------------------------------------------------------------
-_REPORT_METRICS = (
+REPORT_METRICS = (
     ("Temperature", "avg_temperature"),
     ("Precipitation", "total_precipitation"),
     ("Wind Speed", "avg_wind_speed"),
@@ -282,17 +282,17 @@ _REPORT_METRICS = (
 def completeness_report(gold: DataFrame) -> DataFrame:
     """Per metric: total rows, non-NULL rows and their percentage (one scan)."""
     aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.count(c).alias(f"c_{i}") for i, (_, c) in enumerate(_REPORT_METRICS)]
+    aggs += [F.count(c).alias(f"c_{i}") for i, (_, c) in enumerate(REPORT_METRICS)]
     m = gold.agg(*aggs)
     rows = [
         F.struct(
             F.lit(label).alias("metric"),
             F.col("n").alias("total_records"),
             F.col(f"c_{i}").alias("complete_records"),
-            F.round(F.col(f"c_{i}").cast("double") * F.lit(100.0) / F.col("n").cast("double"), 1)
+            F.when(F.col("n") > 0, F.round(F.col(f"c_{i}").cast("double") * F.lit(100.0) / F.col("n").cast("double"), 1))
             .alias("completeness_percentage"),
         )
-        for i, (label, _) in enumerate(_REPORT_METRICS)
+        for i, (label, _) in enumerate(REPORT_METRICS)
     ]
     return m.select(F.inline(F.array(*rows)))
 
@@ -301,7 +301,7 @@ def range_report(gold: DataFrame, rules=config.REPORT_RANGE_RULES) -> DataFrame:
     """Per metric: min, max, mean (1 dp) and outliers outside the report bounds."""
     by_col = {r.column: r for r in rules}
     aggs = []
-    for i, (_, c) in enumerate(_REPORT_METRICS):
+    for i, (_, c) in enumerate(REPORT_METRICS):
         r = by_col[c]
         aggs += [
             F.min(c).alias(f"mn_{i}"), F.max(c).alias(f"mx_{i}"), exact_mean(c).alias(f"av_{i}"),
@@ -316,7 +316,7 @@ def range_report(gold: DataFrame, rules=config.REPORT_RANGE_RULES) -> DataFrame:
             F.round(F.col(f"av_{i}"), 1).alias("avg_value"),
             F.col(f"o_{i}").alias("outliers"),
         )
-        for i, (label, _) in enumerate(_REPORT_METRICS)
+        for i, (label, _) in enumerate(REPORT_METRICS)
     ]
     return m.select(F.inline(F.array(*rows)))
 

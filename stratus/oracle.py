@@ -145,6 +145,14 @@ DOUBLE_COLUMNS = {"tmax", "tmin", "prcp", "snow", "snwd", "awnd", "tmax_celsius"
                   "total_precipitation", "total_snow", "avg_wind_speed"}
 
 
+def _mean_of_three(window: str) -> str:
+    """AVG of this row and the two before it, added up in their order."""
+    x = "avg_temperature"
+    parts = [f"COALESCE(LAG({x}, {k}) OVER ({window}), 0::DOUBLE)" for k in (2, 1)] + [f"COALESCE({x}, 0::DOUBLE)"]
+    n = f"COUNT({x}) OVER ({window} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN {n} > 0 THEN ({' + '.join(parts)}) / {n} END"
+
+
 def _profile_sql(table: str, columns) -> str:
     parts = []
     for c in columns:
@@ -212,19 +220,6 @@ def _validation_sql() -> str:
 FROM bronze"""
 
 
-def _schema_check_sql() -> str:
-    expected = list(dict.fromkeys(list(REQUIRED) + list(NUMERIC)))
-    rows = []
-    for c in expected:
-        req = "true" if c in REQUIRED else "false"
-        rows.append(f"('{c}', 'string', 'string', {req}, true, true, CAST(NULL AS VARCHAR))")
-    return (
-        "SELECT column_name, expected_type, actual_type, required, present, type_ok, issue FROM (VALUES "
-        + ", ".join(rows)
-        + ") AS t(column_name, expected_type, actual_type, required, present, type_ok, issue)"
-    )
-
-
 def _stage_sql() -> str:
     parts = []
     for c in REQUIRED:
@@ -241,9 +236,48 @@ def _stage_sql() -> str:
            "missing_percentage FROM (" + "\nUNION ALL\n".join(parts) + ")"
 
 
-SUITE = ("monthly_summary", "temperature_extremes", "precipitation_analysis", "station_month_rank", "pattern_distribution",
-         "completeness_report", "range_report", "consistency_report", "monthly_dashboard", "station_performance",
-         "seasonal_trends", "dataset_span", "station_timeseries")
+class Report(NamedTuple):
+    """A report's keys, numbers and texts (column names)."""
+    keys: str
+    numbers: str
+    texts: str = ""
+
+
+SUITE = {
+    "monthly_summary": Report("year month", "days_count avg_temp_celsius total_precipitation_mm avg_wind_speed", "month_name"),
+    "temperature_extremes": Report("date station", "avg_temperature", "temperature_category"),
+    "precipitation_analysis": Report(
+        "month", "total_days rainy_days rainy_day_percentage avg_daily_precipitation max_daily_precipitation"),
+    "station_month_rank": Report("station month", "avg_temp total_precip temp_rank precip_rank"),
+    "pattern_distribution": Report("weather_pattern", "occurrences percentage avg_temp_for_pattern avg_precip_for_pattern"),
+    "completeness_report": Report("metric", "total_records complete_records completeness_percentage"),
+    "range_report": Report("metric", "min_value max_value avg_value outliers"),
+    "consistency_report": Report("date station", "avg_tmax avg_tmin avg_temperature", "consistency_check"),
+    "monthly_dashboard": Report(
+        "month", "total_days avg_temperature min_temperature max_temperature total_precipitation rainy_days freezing_days "
+        "hot_days avg_wind_speed", "month_name"),
+    "station_performance": Report("station", "data_points avg_temp temp_variability total_precip avg_wind", "climate_category"),
+    "seasonal_trends": Report("month", "days avg_temp total_precip avg_wind temp_range", "season"),
+    "dataset_span": Report("", "record_count station_count", "first_date last_date"),
+    "station_timeseries": Report(
+        "date station", "avg_temperature total_precipitation prev_day_temp next_day_temp temp_change rolling_3day_avg "
+        "rolling_7day_precip"),
+}
+RUN_TABLES = {
+    "profile": Report("column_name", "count nulls null_percentage"),
+    "stage_stats": Report("stage column_name", "row_count column_count missing_count missing_percentage"),
+    "metrics": Report("metric", "value"),
+    "alerts": Report("metric", "value threshold breached", "direction"),
+}
+
+
+def _melted(name: str, report: Report, sql: str) -> str:
+    """All cells of a report as rows: report, row_key, field, number, text."""
+    cells = [f"{{'field': '{c}', 'number': CAST({c} AS DOUBLE), 'text': CAST(NULL AS VARCHAR)}}" for c in report.numbers.split()]
+    cells += [f"{{'field': '{c}', 'number': CAST(NULL AS DOUBLE), 'text': CAST({c} AS VARCHAR)}}" for c in report.texts.split()]
+    key = ", ".join(f"CAST({k} AS VARCHAR)" for k in report.keys.split()) or "''"
+    return (f"SELECT '{name}' AS report, row_key, c.field AS field, c.number AS number, c.text AS text FROM "
+            f"(SELECT concat_ws('|', {key}) AS row_key, unnest([{', '.join(cells)}]) AS c FROM ({sql}) r)")
 
 
 def oracle_queries(stations: int = 10, timeseries_station: str = "STN1") -> dict[str, str]:
@@ -257,10 +291,10 @@ def oracle_queries(stations: int = 10, timeseries_station: str = "STN1") -> dict
     q["silver_clean"] = s("SELECT * FROM silver")
     q["silver_drop_required"] = s("SELECT * FROM silver WHERE tmax IS NOT NULL AND tmin IS NOT NULL")
     q["gold_daily"] = g(gold_all)
-    q["gold_as_coded"] = s("""SELECT date, station, ROUND(AVG(tmax), 1) AS avg_max_temp, ROUND(AVG(tmin), 1) AS avg_min_temp,
+    q["gold_as_coded"] = s("""SELECT d AS date, station, ROUND(AVG(tmax), 1) AS avg_max_temp, ROUND(AVG(tmin), 1) AS avg_min_temp,
   SUM(prcp) AS total_precipitation, SUM(snow) AS total_snow, ROUND(AVG(awnd), 1) AS avg_wind_speed,
-  CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
-FROM silver GROUP BY date, station""")
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
+FROM typed WHERE tmax IS NOT NULL AND tmin IS NOT NULL GROUP BY d, station""")
     q["gold_parquet_roundtrip"] = g(gold_all)
     q["gold_idempotent"] = g(gold_all)
     q["full_pipeline"] = g(gold_all)
@@ -290,8 +324,7 @@ FROM silver GROUP BY date, station""")
   LAG(avg_temperature, 1) OVER ({W_STATION}) AS prev_day_temp,
   LEAD(avg_temperature, 1) OVER ({W_STATION}) AS next_day_temp,
   avg_temperature - LAG(avg_temperature, 1) OVER ({W_STATION}) AS temp_change,
-  CAST(SUM(CAST(avg_temperature AS DECIMAL(28, 10))) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE)
-    / COUNT(avg_temperature) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3day_avg,
+  {_mean_of_three(W_STATION)} AS rolling_3day_avg,
   SUM(total_precipitation) OVER ({W_STATION} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7day_precip"""
     q["station_timeseries"] = g(
         f"SELECT {ts_cols} FROM gold WHERE station = '{timeseries_station}' ORDER BY date LIMIT 10")
@@ -300,8 +333,7 @@ FROM silver GROUP BY date, station""")
   avg_temperature - LAG(avg_temperature, 1) OVER ({W_STATION}) AS temp_change
 FROM gold""")
     q["rolling_metrics"] = g(f"""SELECT date, station, avg_temperature, total_precipitation,
-  CAST(SUM(CAST(avg_temperature AS DECIMAL(28, 10))) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE)
-    / COUNT(avg_temperature) OVER ({W_STATION} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3day_avg,
+  {_mean_of_three(W_STATION)} AS rolling_3day_avg,
   SUM(total_precipitation) OVER ({W_STATION} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7day_precip
 FROM gold""")
     q["station_month_rank"] = g("""SELECT station, month, ROUND(monthly_avg_temp, 1) AS avg_temp,
@@ -363,7 +395,6 @@ FROM gold WHERE {INCONSISTENT}""")
   CASE WHEN prcp > 50 THEN 'Heavy Precipitation' WHEN prcp > 20 THEN 'Moderate Precipitation'
        ELSE 'Light Precipitation' END AS precip_quality
 FROM silver""")
-    q["schema_check"] = _schema_check_sql()
     q["range_check"] = b(_range_check_sql())
     bad = _count_if(BAD_DATE)
     pct = f"CASE WHEN COUNT(\"DATE\") > 0 THEN {_pct(bad, 'COUNT(\"DATE\")')} END"
@@ -410,7 +441,29 @@ SELECT * FROM gold"""
     q["null_outputs"] = s("SELECT * FROM silver WHERE tavg_celsius IS NULL")
     q["first_match"] = g(f"SELECT * FROM gold WHERE station = '{timeseries_station}' ORDER BY date LIMIT 1")
     q["validate_only"] = q["validation_summary"]
-    q["report_files"] = q["column_profile"]
-    q["analytics_suite"] = "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS report, (SELECT COUNT(*) FROM ({q[name]})) AS row_count" for name in SUITE)
+    q["metrics"] = b(f"""SELECT 'quality_score' AS metric, {SCORE_SQL} AS value FROM bronze
+UNION ALL SELECT 'record_count', CAST(COUNT(*) AS DOUBLE) FROM bronze
+UNION ALL SELECT 'gold_rows', (SELECT CAST(COUNT(*) AS DOUBLE) FROM ({q["gold_daily"]}) g)""")
+    tables = {"profile": q["column_profile"], "stage_stats": q["stage_stats"], "metrics": q.pop("metrics"),
+              "alerts": q["threshold_alerts"]}
+    q["report_files"] = "\nUNION ALL\n".join(_melted(name, report, tables[name]) for name, report in RUN_TABLES.items())
+    q["analytics_suite"] = "\nUNION ALL\n".join(_melted(name, report, q[name]) for name, report in SUITE.items())
+    q["gold_incremental"] = g(gold_all)
+    landed = ", ".join(f"NULLIF(\"{c}\", '') AS \"{c}\"" for c in BRONZE)
+    q["validation_incremental"] = (f"WITH {bronze_cte(stations)},\nlanded AS (SELECT {landed} FROM bronze)\n"
+                                   + _validation_sql().replace("FROM bronze", "FROM landed"))
+    q["station_register"] = g("""SELECT station, COUNT(*) AS days, MAX(avg_temperature) AS hottest,
+  CASE WHEN CAST(substr(station, 4) AS INTEGER) % 2 = 0 THEN 'Station ' || substr(station, 4) END AS name
+FROM gold GROUP BY station""")
+    whole = "ORDER BY date ASC NULLS FIRST, station ASC NULLS FIRST"
+    seven = f"{whole} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"
+    q["global_timeseries"] = g(f"""SELECT date, station, avg_temperature, total_precipitation,
+  LAG(avg_temperature, 1) OVER ({whole}) AS prev_temp, LEAD(avg_temperature, 1) OVER ({whole}) AS next_temp,
+  avg_temperature - LAG(avg_temperature, 1) OVER ({whole}) AS temp_change,
+  {_mean_of_three(whole)} AS moving_avg_3row,
+  SUM(total_precipitation) OVER ({seven}) AS moving_sum_7row FROM gold""")
+    q["daily_temperature_rank"] = g("""SELECT date, station, month, avg_temperature,
+  RANK() OVER (PARTITION BY month ORDER BY avg_temperature DESC NULLS LAST) AS temp_rank FROM gold""")
+    q["sketched_span"] = g("""SELECT year, COUNT(*) AS record_count, COUNT(DISTINCT station) AS station_count,
+  MIN(date) AS first_date, MAX(date) AS last_date FROM gold GROUP BY year""")
     return q

@@ -1,10 +1,10 @@
 """The analytics suite over a gold table and the SQL view helpers.
 
-``analytics_suite(gold)`` returns the named report DataFrames (all lazy).
-When several of them are materialised together over gold read from
-storage, each runs its own aggregate over the (small) gold scan; gold is
-one row per station and day, so these scans are cheap next to the bronze
-scan that built it.
+``analytics_suite(gold)`` returns the named report DataFrames (all lazy). With
+``partials`` (the table of :func:`stored_partials`, worked out in one pass over
+gold) the aggregated reports are roll-ups of it and read gold no more; the
+row-level reports (extremes, inconsistent days, one station's series) filter
+gold. Without, each report runs its own aggregate over gold.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config
-from ..operators import quality, reports, timeseries
+from ..operators import quality, reports, rollup, timeseries
+from ..session import scratch_path
 
 
 def create_view(df: DataFrame, name: str = config.DEFAULT_VIEW_NAME) -> str:
@@ -25,8 +26,26 @@ def view_count(spark: SparkSession, name: str = config.DEFAULT_VIEW_NAME) -> Dat
     return spark.sql(f"SELECT COUNT(*) AS count FROM {name}")
 
 
+#: The columns that tell the rows of each report apart.
+REPORT_KEYS = {
+    "monthly_summary": ("year", "month"), "temperature_extremes": ("date", "station"), "precipitation_analysis": ("month",),
+    "station_month_rank": ("station", "month"), "pattern_distribution": ("weather_pattern",), "completeness_report": ("metric",),
+    "range_report": ("metric",), "consistency_report": ("date", "station"), "monthly_dashboard": ("month",),
+    "station_performance": ("station",), "seasonal_trends": ("month",), "dataset_span": (), "station_timeseries": ("date", "station"),
+}
+
+
+def stored_partials(gold: DataFrame, path: str | None = None) -> DataFrame:
+    """The suite's mergeable aggregates, written once (to ``path`` or the scratch folder)."""
+    path = path or scratch_path(gold.sparkSession, "suite-partials")
+    partials = rollup.suite_partials(gold)
+    partials.write.mode("overwrite").parquet(path)
+    return gold.sparkSession.read.schema(partials.schema).parquet(path)
+
+
 def analytics_suite(gold: DataFrame, station: str | None = None,
-                    gold_by_station: DataFrame | None = None) -> dict[str, DataFrame]:
+                    gold_by_station: DataFrame | None = None,
+                    partials: DataFrame | None = None) -> dict[str, DataFrame]:
     """Named reports over gold: basic, advanced, quality and dashboard groups.
 
     ``gold_by_station`` (a station-bucketed copy, see ``pipeline.transform``)
@@ -46,6 +65,8 @@ def analytics_suite(gold: DataFrame, station: str | None = None,
         "seasonal_trends": reports.seasonal_trends(gold),
         "dataset_span": reports.dataset_span(gold),
     }
+    if partials is not None:
+        suite |= {name: fn(partials) for name, fn in rollup.ROLLED_UP.items()}
     if station is not None:
         series_source = gold if gold_by_station is None else gold_by_station
         suite["station_timeseries"] = timeseries.station_timeseries(series_source, station)
