@@ -9,11 +9,15 @@ pages are built here from templates with a marked article; a bounded sample of
 pages whose own markup has exactly one ``article`` element may be added.
 
 The region is widened to whole blocks, and to its whole ``article`` or ``main``
-element if it lies in one. Blocks of menus, headers, footers, sidebars,
+element if it lies in one; else to all blocks with a score above 0 of the least
+``div`` or ``section`` (or the like) that holds it, and of this element's siblings of
+the same kind whose own best stretch scores at least a third as much. Blocks of menus, headers, footers, sidebars,
 notices, adverts, forms and comments inside it are left out. Inside an article
 and of a section, a class or id tells such a block only by its whole name (all
 of its words are hints or words of layout); ids of headings, paragraphs, cells
-and list items, ids that may be subjects of the text and bylines tell nothing.
+and list items, ids that may be subjects of the text and bylines tell nothing. An
+inline element whose class is such a name goes as well, up to its end or that of
+its block, and so do closing lines that state a copyright after an unmarked article.
 Character references are decoded, white space in a block becomes one space,
 blocks are joined by a line feed. The text of formulas (``math``) is text.
 
@@ -51,7 +55,7 @@ TO_END = frozenset("script style template textarea".split())  # these end with t
 UNWANTED = frozenset("nav aside footer form menu dialog head title fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HINTS = frozenset(
-    "ad ads adv advert advertisement adverts advertising banner banners breadcrumb breadcrumbs byline comment comments "
+    "ad ads adsbygoogle adv advert advertisement adverts advertising banner banners breadcrumb breadcrumbs byline comment comments "
     "consent cookie cookies copyright discussion disqus feedback footer footnav gdpr legal login masthead menu menubar "
     "modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo "
     "promos promoted recommended recommendations related replies reply respond responses share sharing sidebar signup "
@@ -71,6 +75,11 @@ LAYOUT = frozenset(
     "secondary section site slot small stories story text thread title top unit wrap wrapper zone".split())
 TEXTUAL = frozenset("p li td th tr h1 h2 h3 h4 h5 h6".split())
 HEADER_HINTS = frozenset("header banner masthead topbar".split())
+INLINE = frozenset("abbr b cite code em font i ins label mark q s small span strong sub sup time u".split())
+BOXES = frozenset("article aside blockquote center details dialog div dl fieldset figure form main section table td".split())
+BARRIERS = frozenset("ul ol div section article main table nav aside body".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SIBLING = 1 / 3  # of the region's score that a like sibling of its element must reach
 EXCUSES = frozenset("has with no without".split())
 
 _TOKEN = re.compile(
@@ -83,6 +92,7 @@ _TOKEN = re.compile(
 _RAW = {x: re.compile(rf"</{x}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for x in DROPPED}
 _HINT_ATTR = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ARTICLE_ROLE = re.compile(r"""(?<![\w-])role\s*=\s*["']?(?:main|article)\b""", re.I)
+_RIGHTS = re.compile(r"(?:copyright\b|©|\(c\)).*(?:©|\(c\)|\b(?:19|20)\d\d\b|reserved\b)", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -97,6 +107,7 @@ class Event:
     scope: int
     unwanted: bool
     marked: bool      # inside the element that a labelled page marks
+    box: int = 0      # the innermost element of BOXES that is open after it; 0 for none
 
 
 TAG_FEATURES = {
@@ -168,73 +179,170 @@ def _tokens(page: str) -> Iterator[re.Match]:
         yield m
 
 
-def events(page: str, marker: str | None = None) -> list[Event]:
+@dataclass
+class Box:
+    """An element of BOXES: its parent, kind (name and class) and the events it spans; boxes are numbered as they open."""
+    parent: int
+    kind: tuple[str, str]
+    start: int
+    stop: int = -1
+    last: int = -1  # the last box inside it
+
+
+class Page(list):
+    """The events of a page, and its boxes (the first of them stands for the page)."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.boxes = [Box(-1, ("", ""), 0)]
+
+
+@dataclass(frozen=True)
+class Open:
+    name: str
+    unwanted: bool
+    scope: int
+    marked: bool
+    article: bool  # an article or main element, by its name or role
+    box: int
+
+
+class Stack:
+    """The open elements. Places of each name are kept, so that nothing is looked for in the whole stack."""
+
+    def __init__(self, page: Page, marked: bool) -> None:
+        self.page, self.items, self.places = page, [Open("", False, 0, marked, False, 0)], {}
+        self.articles, self.headings = 0, 0
+
+    @property
+    def top(self) -> Open:
+        return self.items[-1]
+
+    def has(self, name: str) -> bool:
+        return bool(self.places.get(name))
+
+    def push(self, item: Open) -> None:
+        self.places.setdefault(item.name, []).append(len(self.items))
+        if item.name in BARRIERS:
+            self.places.setdefault("*", []).append(len(self.items))
+        self.articles += item.article
+        self.headings += item.name in HEADINGS
+        self.items.append(item)
+
+    def pop(self) -> None:
+        item = self.items.pop()
+        self.places[item.name].pop()
+        if item.name in BARRIERS:
+            self.places["*"].pop()
+        self.articles -= item.article
+        self.headings -= item.name in HEADINGS
+        if item.box != self.top.box:
+            box = self.page.boxes[item.box]
+            box.stop, box.last = len(self.page), len(self.page.boxes) - 1
+
+    def close(self, name: str, within: bool = False) -> None:
+        """End the innermost element of that name, if there is one (``within`` the innermost barrier)."""
+        places = self.places.get(name)
+        if places and not (within and self.places.get("*") and self.places["*"][-1] > places[-1]):
+            while len(self.items) > places[-1] if places else False:
+                last = len(self.items) - 1 == places[-1]
+                self.pop()
+                if last:
+                    break
+
+    def end_inline(self) -> None:
+        while self.top.name in INLINE:
+            self.pop()
+
+
+def events(page: str, marker: str | None = None) -> Page:
     """The page's tags and word runs in order."""
-    out: list[Event] = []
-    stack: list[tuple[str, bool, int, bool, bool]] = []  # name, unwanted, scope, marked, article by its role
+    out = Page()
+    stack = Stack(out, marker is None)
     block = scopes = 0
     for m in _tokens(page):
-        top = stack[-1] if stack else ("", False, 0, marker is None, False)
+        top = stack.top
         text = m["text"]
         if text is not None:
             text = html.unescape(text)
-            n = len(text.split())
-            names = [x[0] for x in stack]
-            if top[1]:
+            if top.unwanted:
                 feature = "word:unwanted"
-            elif "a" in names:
+            elif stack.has("a"):
                 feature = "word:link"
-            elif any(x in names for x in ("h1", "h2", "h3", "h4", "h5", "h6")):
+            elif stack.headings:
                 feature = "word:heading"
             else:
-                feature = "word:list" if "li" in names else "word:plain"
-            out.append(Event(feature, n, text, block, top[2], top[1], top[3]))
+                feature = "word:list" if stack.has("li") else "word:plain"
+            out.append(Event(feature, len(text.split()), text, block, top.scope, top.unwanted, top.marked, top.box))
             continue
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue
         close = bool(m["close"] or m["close2"])
         if name == "br":
-            out.append(Event(TAG_FEATURES["br"], 0, " ", block, top[2], top[1], top[3]))
+            out.append(Event(TAG_FEATURES["br"], 0, " ", block, top.scope, top.unwanted, top.marked, top.box))
             continue
         if name in BLOCKS:
             block += 1
+            stack.end_inline()
+        attrs = m["attrs"] or ""
         if not close and name in CONTAINERS:
-            attrs = m["attrs"] or ""
-            if name in ("p", "li", "a", "td", "th", "tr") or name[0] == "h" and name[1:].isdigit():
-                # these end an unclosed one of their kind
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in ("ul", "ol", "div", "section", "article", "main", "table", "nav", "aside", "body"):
-                        break
+            if name in ("p", "li", "a", "td", "th", "tr") or name in HEADINGS:
+                stack.close(name, within=True)  # these end an unclosed one of their kind
             elif name not in ("html", "head", "title"):
-                while stack and stack[-1][0] in ("p", "a", "title", "head"):
+                while stack.top.name in ("p", "a", "title", "head"):
                     stack.pop()
-            top = stack[-1] if stack else ("", False, 0, marker is None, False)
-            in_article = any(x[0] in ("article", "main") or x[4] for x in stack)
-            scope = top[2]
+            top = stack.top
+            scope = top.scope
             if name in ("article", "main"):
                 scopes += 1
-                scope = scopes if not top[2] or name == "article" else top[2]
-            stack.append((name, top[1] or _unwanted(name, attrs, in_article), scope,
-                          top[3] or (marker is not None and marker in attrs), bool(_ARTICLE_ROLE.search(attrs))))
-            top = stack[-1]
-        out.append(Event(TAG_FEATURES.get(name, "tag:other"), 0, "", block, top[2], top[1], top[3]))
-        if close and name in CONTAINERS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+                scope = scopes if not top.scope or name == "article" else top.scope
+            box = top.box
+            if name in BOXES:
+                box = len(out.boxes)
+                out.boxes.append(Box(top.box, (name, _class_of(attrs)), len(out)))
+            stack.push(Open(name, top.unwanted or _unwanted(name, attrs, stack.articles > 0), scope,
+                            top.marked or (marker is not None and marker in attrs),
+                            name in ("article", "main") or bool(_ARTICLE_ROLE.search(attrs)), box))
+        elif not close and name in INLINE and attrs and not top.unwanted and _unwanted_inline(attrs):
+            stack.push(Open(name, True, top.scope, top.marked, False, top.box))
+        top = stack.top
+        if close and (name in CONTAINERS or name in INLINE):
+            stack.close(name, within=name in INLINE)
+        out.append(Event(TAG_FEATURES.get(name, "tag:other"), 0, "", block, top.scope, top.unwanted, top.marked, stack.top.box))
+    while len(stack.items) > 1:
+        stack.pop()
+    out.boxes[0].stop, out.boxes[0].last = len(out), len(out.boxes) - 1
     return out
 
 
+def _class_of(attrs: str) -> str:
+    for kind, *values in _HINT_ATTR.findall(attrs):
+        if kind.lower() == "class":
+            return " ".join("".join(values).split())
+    return ""
+
+
+def _unwanted_inline(attrs: str) -> bool:
+    """A class that is a hint as a whole, and no possible subject of the text."""
+    for kind, *values in _HINT_ATTR.findall(attrs):
+        if kind.lower() == "class":
+            for value in "".join(values).split():
+                parts = {p.lower() for p in _PART.findall(value)}
+                if parts <= HINTS | LAYOUT and parts & (HINTS - SUBJECTS - {"byline", "header", "footer", "search", "login"}):
+                    return True
+    return False
+
+
+def _score(e: Event, weights: dict[str, float]) -> float:
+    return weights[e.feature] * (e.words if e.words or not e.feature.startswith("tag") else 1)
+
+
 def best_region(sequence: list[Event], weights: dict[str, float]) -> tuple[int, int]:
     """The contiguous stretch [from, to) with the greatest score; empty if no stretch is above 0."""
     best, best_range, total, start = 0.0, (0, 0), 0.0, 0
     for i, e in enumerate(sequence):
-        total += weights[e.feature] * (e.words if e.words or not e.feature.startswith("tag") else 1)
+        total += _score(e, weights)
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
@@ -242,29 +350,60 @@ def best_region(sequence: list[Event], weights: dict[str, float]) -> tuple[int,
     return best_range
 
 
-def region_text(sequence: list[Event], region: tuple[int, int]) -> str:
-    """The region's wanted blocks, widened to whole blocks and to the article or main element they lie in."""
+def _held_blocks(sequence: Page, box: Box, number: int, weights: dict[str, float]) -> set[int]:
+    """The blocks of a box with a score above 0."""
+    scores: dict[int, float] = {}
+    for e in sequence[box.start:box.stop]:
+        if number <= e.box <= box.last and not e.unwanted:
+            scores[e.block] = scores.get(e.block, 0.0) + _score(e, weights)
+    return {b for b, x in scores.items() if x > 0}
+
+
+def _widened(sequence: Page, region: tuple[int, int], weights: dict[str, float]) -> set[int]:
+    """Further blocks of the least box that holds the region, and of its like siblings."""
+    words = [k for k in range(*region) if sequence[k].words and not sequence[k].unwanted]
+    number = min((sequence[k].box for k in range(words[0], words[-1] + 1)))  # boxes open in order: an outer one comes first
+    if not number:
+        return set()
+    own = sequence.boxes[number]
+    found = _held_blocks(sequence, own, number, weights)
+    least = SIBLING * sum(_score(e, weights) for e in sequence[slice(*region)])
+    for k, box in enumerate(sequence.boxes):
+        if k != number and box.parent == own.parent and box.kind == own.kind:
+            inside = sequence[box.start:box.stop]
+            a, b = best_region(inside, weights)
+            if sum(_score(e, weights) for e in inside[a:b]) >= least and any(e.words and not e.unwanted for e in inside[a:b]):
+                found |= _held_blocks(sequence, box, k, weights)
+    return found
+
+
+def region_text(sequence: Page, region: tuple[int, int], weights: dict[str, float] | None = None) -> str:
+    """The region's wanted blocks, widened to whole blocks and to the element they lie in."""
     inside = [e for e in sequence[slice(*region)] if e.words and not e.unwanted]
     if not inside:
         return ""
     scopes = {e.scope for e in inside}
     scope = scopes.pop() if len(scopes) == 1 else 0
     blocks = {e.block for e in inside}
+    if not scope and weights is not None:
+        blocks |= _widened(sequence, region, weights)
     first, last = min(blocks), max(blocks)
     texts: dict[int, list[str]] = {}
     for e in sequence:
         if e.unwanted or not (first <= e.block <= last or (scope and e.scope == scope)):
             continue
         texts.setdefault(e.block, []).append(e.text)
-    lines = (" ".join("".join(parts).split()) for _, parts in sorted(texts.items()))
-    return "\n".join(x for x in lines if x)
+    lines = [x for x in (" ".join("".join(parts).split()) for _, parts in sorted(texts.items())) if x]
+    while not scope and len(lines) > 1 and _RIGHTS.match(lines[-1]) and len(lines[-1]) < 200:
+        lines.pop()
+    return "\n".join(lines)
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     sequence = events(page)
-    return region_text(sequence, best_region(sequence, weights))
+    return region_text(sequence, best_region(sequence, weights), weights)
 
 
 # -- learning ---------------------------------------------------------------

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -116,6 +117,62 @@ def test_held_out_template_pages():
     assert right / 60 > 0.93
 
 
+@pytest.mark.parametrize("piece", ["<div>a b ", "<form><p>", "<td><form>", "<div><p>x</div>", "<li><a href=x>y ", "</div><div>", "<span class='ad'>x",
+                                   "<section class='s'>word word</section>", "<ul><li>"])
+def test_nested_markup_is_read_in_linear_time(piece):
+    begun = time.time()
+    h.extract("<body>" + piece * 100_000, WEIGHTS)
+    assert time.time() - begun < 25
+
+
+def test_deep_nesting_with_late_cells():
+    begun = time.time()
+    h.extract("<td><div>" + "<form>" * 30_000 + "<td></td>" * 30_000, WEIGHTS)
+    assert time.time() - begun < 10
+
+
+def prose(n, seed=0):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abdeiklmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+
+def test_a_container_is_kept_whole_around_a_list_of_links():
+    first, last = prose(60, 1), prose(40, 2)
+    links = "".join(f"<li><a href='/{k}'>item {k}</a></li>" for k in range(40))
+    text = h.extract(f"<body><ul><li><a href=x>Home</a></ul><div><p>{first}</p><ul>{links}</ul><p>{last}</p></div></body>", WEIGHTS)
+    assert text.startswith(first) and text.endswith(last) and "Home" not in text
+
+
+def test_like_siblings_with_a_gallery_between():
+    first, last = prose(60, 3), prose(50, 4)
+    gallery = "".join(f"<a href='/{k}'>picture {k}</a>" for k in range(300))
+    page = f"<body><div class='part'><p>{first}</p></div><div class='gallery'>{gallery}</div><div class='part'><p>{last}</p></div>" \
+           f"<div class='foot'><p>{prose(5, 5)}</p></div></body>"
+    text = h.extract(page, WEIGHTS)
+    assert text.startswith(first) and text.endswith(last)
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+@pytest.mark.parametrize("inline", ['<ins class="adsbygoogle">BUY</ins>', '<span class="ad">AD</span>', '<b class="sponsored-text">AD</b>',
+                                    '<span class="ad">AD'])
+def test_inline_adverts_go(wrap, inline):
+    text = h.extract("<body>" + wrap.format(f"<p>{prose(30, 6)} {inline}</p><p>last words of the text</p>") + "</body>", WEIGHTS)
+    assert text == f"{prose(30, 6)}\nlast words of the text"
+
+
+@pytest.mark.parametrize("inline", ['<span class="legal">{}</span>', '<em id="ad">{}</em>', '<span class="byline">{}</span>', '<b class="main">{}</b>'])
+def test_inline_text_stays(inline):
+    text = h.extract(f"<article><p>first words {inline.format('in between')} and last</p></article>", WEIGHTS)
+    assert text == "first words in between and last"
+
+
+def test_a_closing_copyright_line_goes_after_an_unmarked_article():
+    body = prose(80, 7)
+    assert h.extract(f"<body><div><p>{body}</p><p>Copyright 2020 Some Body. All rights reserved</p></div></body>", WEIGHTS) == body
+    kept = f"<article><p>{body}</p><p>Copyright 2020 was a year.</p></article>"
+    assert h.extract(kept, WEIGHTS).endswith("was a year.")
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE.format(main=f"<article>{BODY}</article>")), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "a " * 50_000),
             (3, "w", "<p>" + "a " * 50_000)]
