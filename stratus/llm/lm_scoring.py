@@ -11,7 +11,7 @@ A class holds the tokens of like endings (punctuation at the end left aside). It
 units are frequent tokens, one unit each, and cells of the other tokens by how
 they begin; in a cell a token has its share of the training count, less a
 Good-Turing share for unseen tokens, so that probabilities add up to one. The
-frequent tokens are as many as the square root of the number of training tokens,
+frequent tokens are as many as the number of training tokens to the power ``words``,
 so units, classes and cells all grow with the corpus, and the model (two vectors
 per unit) stays small beside it.
 
@@ -55,7 +55,7 @@ _hash = xxhash.xxh3_64_intdigest
 
 @dataclass(frozen=True)
 class Settings:
-    words: float = 0.5     # the frequent tokens are the number of training tokens to this power
+    words: float = 0.45    # the frequent tokens are the number of training tokens to this power
     context: int = 4
     size: int = 12         # dimensions
     rounds: int = 1        # passes over all places of the training documents
@@ -155,7 +155,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """What every task needs of the counts; its size grows with the square root of the training tokens."""
+    """What every task needs of the counts; its size grows with a power below one half of the training tokens."""
     total: int
     distinct: int
     bits: int               # classes are the top bits of the ending, 2 ** bits of them

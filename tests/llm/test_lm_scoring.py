@@ -112,7 +112,7 @@ def test_every_place_is_a_target_and_the_model_grows(documents, monkeypatch):
         rows = lm.coded(documents(corpus(n)).coalesce(1))
         counts = lm.cut(lm.token_counts(rows))
         v, s = lm.vocabulary(counts, lm.Settings()), lm.Settings(batch=100)
-        assert len(v.own) == min(math.ceil(v.total ** 0.5), v.distinct)
+        assert len(v.own) == min(math.ceil(v.total ** s.words), v.distinct)
         sizes.append((len(v.own), v.units))
         codes = np.concatenate([np.frombuffer(r.codes, np.uint64) for r in rows.collect()])
         met = Counter()
