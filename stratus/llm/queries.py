@@ -27,7 +27,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), minhash_dedup.Settings(shingle=3, percent=85))
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), minhash_dedup.Settings(
+        shingle=3, percent=85, bands=30, rows=6))
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,6 +201,18 @@ def _chats():
     return rows
 
 
+def test_rows_without_conv_id_are_never_gathered(spark):
+    from pyspark.sql import functions as F
+    rows = [(None, k % 3, "user", f"t{k % 40}") for k in range(400)] + [(None, 1, None, None), (5, 0, "user", "t3"), (5, 1, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert chat_format.prefix_hashes(df).where("conv_id is null").agg(F.max("n")).first()[0] == 1
+    got = sorted(((r.conv_id, r.n_turns, r.n_copies, r.rendered) for r in chat_format.format_chats(df).collect()), key=str)
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    assert got == sorted(con.execute(chat_format.ORACLE).fetchall(), key=str)
+    assert sum(r[2] for r in got if r[0] is None) == 391 and len(got) == 41  # ten logs of t3 begin conversation 5
+
+
 def test_chats_collapse_to_maximal_conversations(spark):
     df = spark.createDataFrame(_chats(), "conv_id long, turn long, role string, text string")
     from pyspark.sql import functions as F
