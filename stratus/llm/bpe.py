@@ -1,21 +1,26 @@
 """BPE encoding and decoding; long texts by tree concatenation.
 
 Texts of up to ``leaf`` code points are encoded whole, in batches. A longer
-text is cut into leaves, wherever the cuts fall, and the leaves are encoded in
-parallel as rows of their own. Neighbours are then joined in a binary tree:
-a window around the cut is encoded again, and grows until its tokens agree
-with both sides' (same ids over the same code points). From the left
-side's tokens up to the agreement, the window's between the two agreements and
-the right side's after them, every two neighbouring tokens stand side by side
-in some encoding of the same stretch of text, so the whole is the encoding of
-the joined text. A window that reaches both ends is that encoding by itself.
+text is cut into leaves, wherever the cuts fall, and the leaves are encoded by
+themselves. Neighbours are then joined in a binary tree: a window around the cut
+is encoded again, and grows until its tokens agree with both sides' (same ids
+over the same code points). From the left side's tokens up to the agreement, the
+window's between the two agreements and the right side's after them, every two
+neighbouring tokens stand side by side in some encoding of the same stretch of
+text, so the whole is the encoding of the joined text. A window that reaches both
+ends is that encoding by itself.
+
+Stretches of up to ``spread`` code points are joined in the task that reads them.
+Longer texts are cut into such stretches, which are encoded in parallel as rows of
+their own, one per distinct text, and then joined; rows with the same text take
+its result by a join.
 
 The tokenizer file comes with ``public_tokenizers`` (``path`` of its name is
 looked up on the worker) or is an absolute path; nothing is trained or copied.
 
 Defined results: a null text counts as an empty one (no ids, empty decoded
-text). Repeated rows are encoded each for itself. Other columns are carried
-along if asked for.
+text). Every row gives a row, also where texts or whole rows repeat. Other
+columns are carried along if asked for.
 """
 
 from __future__ import annotations
@@ -24,7 +29,6 @@ import hashlib
 import os
 import re
 import struct
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +43,8 @@ from .common import record_batches, to_bytes
 @dataclass(frozen=True)
 class Settings:
     tokenizer: str = "word_bpe_49k.json"
-    leaf: int = 1 << 16     # code points encoded in one go
+    leaf: int = 1 << 13     # code points encoded in one go
+    spread: int = 1 << 16   # code points joined in one task; longer texts are dealt out
     words: bool = True      # white space separates and is dropped, so that words are encoded each by itself
     memo: int = 1_000_000   # encoded words (some 200 bytes each) a worker process remembers; forgotten together when full
     window: int = 64        # first window on each side of a cut
@@ -184,11 +189,16 @@ def join_tree(tok, text: str, pieces: list[Piece], s: Settings) -> Piece:
     return pieces[0]
 
 
-def encode_long(tok, text: str, s: Settings) -> list[int]:
-    """Ids of a text of any length, leaf by leaf (the distributed path does the same with leaves as rows)."""
+def encode_stretch(tok, text: str, s: Settings) -> Piece:
+    """A text of more than no code points, leaf by leaf."""
     cuts = [*range(0, len(text), s.leaf), len(text)]
-    pieces = [encode_piece(tok, text, a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return join_tree(tok, text, pieces, s).ids.tolist() if pieces else []
+    return join_tree(tok, text, [encode_piece(tok, text, a, b) for a, b in zip(cuts, cuts[1:], strict=False)], s)
+
+
+def encode_texts(coder: WordCoder, texts: list[str], s: Settings) -> list[bytes]:
+    """Ids of texts: the short ones together, the others by the tree."""
+    short = iter(coder.encode([t for t in texts if len(t) <= s.leaf]))
+    return [next(short) if len(t) <= s.leaf else encode_stretch(coder.tok, t, s).ids.astype("<u4").tobytes() for t in texts]
 
 
 def _digests(tok, packed: list[bytes]) -> Iterator[tuple[np.ndarray, str, str]]:
@@ -221,56 +231,52 @@ def encode(docs: DataFrame, keep: list[str], settings: Settings = Settings(), wi
             schema = _result_schema(batch.schema.field("keep").type)
             for start in range(0, batch.num_rows, s.batch):
                 part = batch.slice(start, s.batch)
-                done = list(_digests(coder.tok, coder.encode(part.column(1).to_pylist())))
+                done = list(_digests(coder.tok, encode_texts(coder, part.column(1).to_pylist(), s)))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(x[0]) for x in done], pa.int64()),
                     pa.array([x[0] if with_ids else None for x in done], pa.list_(pa.int32())),
                     pa.array([x[1] for x in done]), pa.array([x[2] for x in done])], schema=schema)
 
-    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("key", pa.string()), ("at", pa.int64()), ("text", pa.string())])
         for batch in batches:
-            schema = pa.schema([batch.schema.field("keep"), ("key", pa.string()), ("at", pa.int64()), ("text", pa.string())])
-            for i, text in enumerate(batch.column(1)):
-                value, own = text.as_py(), batch.column(0).slice(i, 1)
-                key = hashlib.md5(to_bytes(repr(own[0].as_py())) + b"\0" + to_bytes(value)).hexdigest()
-                for at in range(0, len(value), s.leaf):
-                    yield pa.RecordBatch.from_arrays([
-                        own, pa.array([key]), pa.array([at], pa.int64()), pa.array([value[at:at + s.leaf]])], schema=schema)
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                value = text.as_py()
+                for at in range(0, len(value), s.spread):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key]), pa.array([at], pa.int64()), pa.array([value[at:at + s.spread]])], schema=schema)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(s.tokenizer)
         for batch in batches:
-            for i, text in enumerate(batch.column(3)):
-                value = text.as_py()
-                p = encode_piece(tok, value, 0, len(value))
-                lists = [pa.array([x.tolist()], pa.list_(pa.int32())) for x in (p.ids, p.starts, p.ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, 1) for c in range(4)), *lists],
-                    names=["keep", "key", "at", "text", "ids", "starts", "ends"])
+            for i, text in enumerate(batch.column(2)):
+                p = encode_stretch(tok, text.as_py(), s)
+                lists = [pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for x in (p.ids, p.starts, p.ends)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in range(3)), *lists],
+                                                 names=["key", "at", "text", "ids", "starts", "ends"])
 
     def joined(group: pa.Table) -> pa.Table:
         tok = tokenizer(s.tokenizer)
-        at = group.column("at").to_pylist()
-        first: dict[int, int] = {}
-        copies = defaultdict(list)
-        for i, place in enumerate(at):
-            first.setdefault(place, i)
-            copies[place].append(i)
-        order = sorted(first)
-        text = "".join(group.column("text")[first[a]].as_py() for a in order)
+        group = group.sort_by("at")
+        text = "".join(group.column("text").to_pylist())
         pieces = []
-        for a in order:
-            ids, starts, ends = (np.array(group.column(c)[first[a]].as_py(), np.int64) for c in ("ids", "starts", "ends"))
-            pieces.append(Piece(a, min(a + s.leaf, len(text)), ids, starts + a, ends + a))
+        for i, at in enumerate(group.column("at").to_pylist()):
+            ids, starts, ends = (group.column(c)[i].values.to_numpy().astype(np.int64) for c in ("ids", "starts", "ends"))
+            pieces.append(Piece(at, min(at + s.spread, len(text)), ids, starts + at, ends + at))
         own, *digests = next(_digests(tok, [join_tree(tok, text, pieces, s).ids.astype("<u4").tobytes()]))
-        rows = [(group.column("keep")[i].as_py(), len(own), own if with_ids else None, *digests) for i in copies[0]]
-        return pa.Table.from_batches(record_batches(rows, _result_schema(group.schema.field("keep").type)))
-
-    short = rows.where(size <= s.leaf).mapInArrow(whole, out)
-    pieces = rows.where(size > s.leaf).mapInArrow(leaves, f"keep {kind}, key string, at long, text string")
-    done = pieces.repartition("key", "at").mapInArrow(
-        encoded, f"keep {kind}, key string, at long, text string, ids array<int>, starts array<int>, ends array<int>")
-    both = short.union(done.groupBy("key").applyInArrow(joined, out))
+        return pa.table([pa.array(group.column("key")[:1]), pa.array([len(own)], pa.int64()),
+                         pa.array([own if with_ids else None], pa.list_(pa.int32())), *(pa.array([x]) for x in digests)],
+                        names=["key", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+
+    short = rows.where(size <= s.spread).mapInArrow(whole, out)
+    long = rows.where(size > s.spread).withColumn("key", F.sha2("text", 256))
+    dealt = long.select("key", "text").mapInArrow(stretches, "key string, at long, text string")
+    once = dealt.groupBy("key", "at").agg(F.first("text").alias("text"))  # copies of a text are encoded once
+    done = once.mapInArrow(encoded, "key string, at long, text string, ids array<int>, starts array<int>, ends array<int>")
+    results = done.groupBy("key").applyInArrow(
+        joined, "key string, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+    both = short.union(long.select("keep", "key").join(results, "key").select(
+        "keep", "n_tokens", "ids", "ids_sha256", "decoded_sha256"))
     fields = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"]
     return both.select(*(F.col("keep").getField(c).alias(c) for c in keep), *(f for f in fields if with_ids or f != "ids"))
 

@@ -32,7 +32,7 @@ def texts():
 
 
 @pytest.mark.parametrize("settings", [bpe.Settings(), bpe.Settings(words=False), bpe.Settings(leaf=37, window=4),
-                                      bpe.Settings(leaf=256, window=16)])
+                                      bpe.Settings(leaf=256, window=16), bpe.Settings(leaf=64, spread=300), bpe.Settings(leaf=50, spread=50)])
 def test_encoding_equals_the_library(documents, settings):
     pairs = [(i, t) for i, t in enumerate(texts())]
     got = bpe.encode(documents(pairs), ["doc_id"], settings).collect()
@@ -54,11 +54,22 @@ def test_joining_halves_at_every_cut():
 def test_repeated_long_rows_and_null_ids_stay_rows(documents):
     long = "word " * 200
     docs = documents([(1, long), (1, long), (None, long), (2, long)])
-    got = bpe.encode(docs, ["doc_id", "kept", "lang"], bpe.Settings(leaf=64)).collect()
+    got = bpe.encode(docs, ["doc_id", "kept", "lang"], bpe.Settings(leaf=64, spread=128)).collect()
     assert sorted((r.doc_id or 0, r.kept, r.n_tokens) for r in got) == [(0, "x", 200), (1, "x", 200), (1, "x", 200), (2, "x", 200)]
     assert bpe.encode(documents([]), ["doc_id"]).count() == 0
 
 
+def test_copies_of_a_long_text_are_encoded_once(documents):
+    text = "".join(random.Random(1).choice("abcdest ") for _ in range(40_000))
+    docs = documents([(k, text) for k in range(50)])
+    got = bpe.encode(docs, ["doc_id"], bpe.Settings(leaf=512, spread=4096), with_ids=False)
+    plan = got._jdf.queryExecution().toString()
+    assert "ids" not in got.columns and "first(text" in plan
+    rows = got.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(50))
+    assert {(r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == {expected(text)}
+
+
 def test_decode(documents):
     coded = bpe.encode(documents([(1, "Some words"), (2, None)]), ["doc_id"])
     got = {r.doc_id: r.decoded for r in bpe.decode(coded, F.col("ids")).collect()}
