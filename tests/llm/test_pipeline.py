@@ -42,6 +42,24 @@ def test_stages_take_effect_in_order(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["bpe"].count()
 
 
+def test_stages_keep_columns_with_names_of_their_own(spark, documents):
+    rng = random.Random(3)
+    pairs = [(i, " ".join(f"the and of w{rng.randrange(9999)} v{rng.randrange(9999)}" for _ in range(40)) + ".") for i in range(30)]
+    extra = ("n_removed", "copy_no_", "kept", "key_", "row_", "component_id", "n_words")
+    docs = documents(pairs + [(3, pairs[3][1]), (None, pairs[4][1] + " more of it"), (77, None)], extra)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *extra]
+        assert {r.n_removed + r.copy_no_ for r in docs.collect()} == {"xx"}
+
+
+def test_stages_of_an_empty_table(spark, documents):
+    docs = documents([])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        assert docs.count() == 0, name
+
+
 def test_registered_queries():
     names = list(queries())
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
