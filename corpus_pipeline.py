@@ -1,7 +1,13 @@
 """The training-data pipeline: quality rules, near-duplicates, repeated spans, source mixing, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
-before it kept; all but the last return the columns of ``docs``.
+before it kept; all but the last return the columns of ``docs``, whatever their
+names.
+
+Defined results: a null or empty text fails the quality rules. A row without
+doc_id is linked with nothing, owns repeated spans last and is mixed by its
+text. Of rows that share a doc_id, as of near-duplicates, one stays. A null
+source is a source of its own. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm import bpe, minhash_dedup, mixing, quality_rules, span_dedup
-from stratus.llm.common import cut, table
+from stratus.llm.common import cut, free_name, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences of repeated spans are cut out; n_chars follows where a text changed."""
     done = span_dedup.drop_repeated_spans(docs)
-    size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    size = F.when(F.col(free_name(docs, "n_removed")) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return done.withColumn("n_chars", size).select(docs.columns)
 
 
