@@ -323,12 +323,22 @@ def range_report(gold: DataFrame, rules=config.REPORT_RANGE_RULES) -> DataFrame:
 
 def consistency_report(gold: DataFrame) -> DataFrame:
     """Station-days whose max is below the min or whose mean is off the midpoint."""
-    return (
-        gold.where(is_inconsistent())
-        .select("date", "station", "avg_tmax", "avg_tmin", "avg_temperature",
-                consistency_label().alias("consistency_check"))
-        .orderBy("date", "station")
-    )
+    return _labelled(gold.where(is_inconsistent()))
+
+
+def flag_inconsistent(gold: DataFrame) -> DataFrame:
+    """Gold with ``inconsistent``, to be stored: a table clustered by it holds such rows in few row groups."""
+    return gold.withColumn("inconsistent", F.coalesce(is_inconsistent(), F.lit(False)))
+
+
+def flagged_consistency_report(flagged: DataFrame) -> DataFrame:
+    """:func:`consistency_report` from the stored flag, by which the scan skips row groups."""
+    return _labelled(flagged.where("inconsistent"))
+
+
+def _labelled(days: DataFrame) -> DataFrame:
+    return days.select("date", "station", "avg_tmax", "avg_tmin", "avg_temperature",
+                       consistency_label().alias("consistency_check")).orderBy("date", "station")
 
 
 # ---------------------------------------------------------------------------

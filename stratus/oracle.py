@@ -464,6 +464,17 @@ FROM gold GROUP BY station""")
   SUM(total_precipitation) OVER ({seven}) AS moving_sum_7row FROM gold""")
     q["daily_temperature_rank"] = g("""SELECT date, station, month, avg_temperature,
   RANK() OVER (PARTITION BY month ORDER BY avg_temperature DESC NULLS LAST) AS temp_rank FROM gold""")
+    q["series_by_deliveries"] = g(f"SELECT {ts_cols} FROM gold")
+    q["month_spans"] = g("""SELECT year, month, COUNT(*) AS record_count, MIN(date) AS first_date, MAX(date) AS last_date
+FROM gold GROUP BY year, month""")
+    q["table_span"] = g("SELECT COUNT(*) AS record_count, MIN(date) AS first_date, MAX(date) AS last_date FROM gold")
+    q["null_profile"] = g("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count FROM gold"
+        for c in GOLD_COLUMNS if c not in ("year", "month")))
+    q["newest_days"] = q["latest_days"]
+    q["station_days"] = s(f"""SELECT * FROM silver WHERE station = '{timeseries_station}'
+  AND date BETWEEN DATE '1995-01-01' AND DATE '1995-06-30'""")
+    q["inconsistent_days"] = q["consistency_report"]
     q["sketched_span"] = g("""SELECT year, COUNT(*) AS record_count, COUNT(DISTINCT station) AS station_count,
   MIN(date) AS first_date, MAX(date) AS last_date FROM gold GROUP BY year""")
     return q

@@ -17,3 +17,13 @@ def explain_string(df: DataFrame, mode: str = "formatted") -> str:
 def uses_python(df: DataFrame) -> bool:
     text = explain_string(df, "extended")
     return any(n in text for n in PYTHON_NODES)
+
+
+def rows_scanned(df: DataFrame) -> int:
+    """Runs ``df`` (scans, filters and projections only) and returns how many rows its scans handed over.
+
+    Rows of row groups and pages that the footers rule out are not among them.
+    """
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))

@@ -20,11 +20,12 @@ from ..operators.gold import AS_CODED, daily_gold
 from ..operators.silver import AS_CODED_ROWS, DROP_MISSING_TEMPS, clean_observations, rejected_rows
 from ..session import remove_path, scratch_path
 from ..sources.bronze_csv import load_bronze_csv, write_landing_csv
+from ..sources.clustered import station_span, write_clustered
 from ..sources.fixture import SMOKE_STATIONS, bronze_from_tables
 from ..sources.generator import generate_from_skeleton, skeleton_from_silver
 from ..sources.parquet import read_parquet, write_partitioned_parquet
 from ..sources import rows_with_schema
-from . import incremental, pipeline
+from . import footers, incremental, pipeline, series_increments
 from .analytics import REPORT_KEYS, analytics_suite, stored_partials
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,10 @@ class Layers:
     def gold(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return daily_gold(self.silver(spark, sf_dir))
 
+    def gold_path(self, spark: SparkSession, sf_dir: str) -> str:
+        """The folder of a stored gold table."""
+        return write_partitioned_parquet(self.gold(spark, sf_dir), scratch_path(spark, "gold"))
+
 
 def input_signature(spark: SparkSession, path: str) -> tuple:
     """Number, size and a hash of the names, sizes and times of all files below ``path``.
@@ -70,7 +75,7 @@ class StoredLayers(Layers):
 
     _stored_tables: dict = {}
 
-    def _stored(self, spark: SparkSession, sf_dir: str, layer: str, build) -> DataFrame:
+    def _stored(self, spark: SparkSession, sf_dir: str, layer: str, build) -> tuple[str, DataFrame]:
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), self.stations, layer)
         signature = input_signature(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
         known = self._stored_tables.get(key)
@@ -83,13 +88,16 @@ class StoredLayers(Layers):
             # (the table does not change once written).
             known = (signature, path, read_parquet(spark, path))
             self._stored_tables[key] = known
-        return known[2]
+        return known[1:]
 
     def silver(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self._stored(spark, sf_dir, "silver", super().silver)
+        return self._stored(spark, sf_dir, "silver", super().silver)[1]
 
     def gold(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return self._stored(spark, sf_dir, "gold", super().gold)
+        return self._stored(spark, sf_dir, "gold", super().gold)[1]
+
+    def gold_path(self, spark: SparkSession, sf_dir: str) -> str:
+        return self._stored(spark, sf_dir, "gold", super().gold)[0]
 
 
 GENERATOR_SEED = 7
@@ -266,6 +274,35 @@ def build_queries(stations: int = SMOKE_STATIONS, timeseries_station: str = "STN
     q["global_timeseries"] = lambda spark, sf: ordered.global_time_series(L.gold(spark, sf))
     q["daily_temperature_rank"] = lambda spark, sf: ordered.daily_temperature_rank(L.gold(spark, sf))
     q["sketched_span"] = lambda spark, sf: sketches.span_of(sketches.month_sketches(L.gold(spark, sf)), "year")
+    def series_by_deliveries(spark, sf):
+        # all but the last two months, then these two, the last of them run again after a restart
+        path = scratch_path(spark, "series")
+        gold = L.gold(spark, sf)
+        borders = [r.first_date for r in footers.month_spans(spark, L.gold_path(spark, sf))
+                   .orderBy(F.desc("first_date")).limit(2).collect()][::-1]
+        for k, (low, high) in enumerate(zip([None, *borders], [*borders, None])):
+            part = gold if low is None else gold.where(F.col("date") >= F.lit(low))
+            part = part if high is None else part.where(F.col("date") < F.lit(high))
+            for _ in range(1 if high is not None else 2):
+                series_increments.add_days(spark, part, f"{k:04d}", path)
+        return series_increments.series(spark, path)
+
+    def station_days(spark, sf):
+        path = write_clustered(L.silver(spark, sf), scratch_path(spark, "silver-clustered"))
+        return station_span(spark, path, timeseries_station, "1995-01-01", "1995-06-30")
+
+    def inconsistent_days(spark, sf):
+        path = write_clustered(quality.flag_inconsistent(L.gold(spark, sf)), scratch_path(spark, "gold-clustered"),
+                               ("inconsistent", "station", "date"))
+        return quality.flagged_consistency_report(spark.read.parquet(path))
+
+    q["month_spans"] = lambda spark, sf: footers.month_spans(spark, L.gold_path(spark, sf))
+    q["table_span"] = lambda spark, sf: footers.table_span(spark, L.gold_path(spark, sf))
+    q["null_profile"] = lambda spark, sf: footers.null_profile(spark, L.gold_path(spark, sf))
+    q["newest_days"] = lambda spark, sf: footers.newest_days(spark, L.gold_path(spark, sf))
+    q["series_by_deliveries"] = series_by_deliveries
+    q["station_days"] = station_days
+    q["inconsistent_days"] = inconsistent_days
     q["analytics_suite"] = suite
     q["report_files"] = report_files
 
