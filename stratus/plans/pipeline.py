@@ -96,8 +96,8 @@ def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
 
     ``metrics="exact"`` (default): one aggregate over the typed bronze rows
     computes the verdict, bronze and silver stage statistics and the silver
-    profile (exact under task retries), then one job writes gold. A CSV source
-    is parsed once for both, into a Parquet copy that is deleted at the end.
+    profile (exact under task retries), then one job writes gold. The source is
+    read once for both, into a Parquet copy that is deleted at the end.
     ``fail_on_invalid`` stops before the write at no extra cost.
 
     ``metrics="observed"``: the same measures ride on the write job through
@@ -115,10 +115,10 @@ def transform(spark: SparkSession, source: str | DataFrame, output_path: str, *,
     memory = [driver_memory_mb(spark)]
     bronze = load_bronze_csv(spark, source) if isinstance(source, str) else source
     copy = None
-    if isinstance(source, str) and metrics == "exact":
+    if metrics == "exact":
         copy = scratch_path(spark, "bronze")
         bronze.write.parquet(copy)
-        bronze = spark.read.schema(config.BRONZE_SCHEMA).parquet(copy)
+        bronze = spark.read.schema(bronze.schema).parquet(copy)
     gold_rows = Observation("gold_rows")
 
     if metrics == "exact":
