@@ -315,7 +315,7 @@ def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     order = np.argsort(ids, kind="stable")
     ordered = ids[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[first], np.diff(np.append(first, len(ids))), np.add.reduceat(rows[order], first, axis=0)
+    return ordered[first], np.diff(np.append(first, len(ids))), np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
 class Trainer:
@@ -343,30 +343,37 @@ class Trainer:
             return
         unit = targets[kept]
         own = self.own[unit]
-        vectors = m.context[strips]                                    # strips, places, size
-        mixed = vectors[:, n - 1:n - 1 + size] * m.places[0]
+        # A strip's vectors lie in one row, so that each operation runs over whole strips.
+        vectors = m.context.take(strips, axis=0).reshape(len(strips), -1)
+        weights = np.tile(m.places, size)
+
+        def before(i: int) -> slice:
+            return slice((n - 1 - i) * s.size, (n - 1 - i + size) * s.size)
+
+        mixed = vectors[:, before(0)] * weights[0]
         for i in range(1, n):
-            mixed += vectors[:, n - 1 - i:n - 1 - i + size] * m.places[i]
+            mixed += vectors[:, before(i)] * weights[i]
         q = np.empty((len(unit), s.size + 1), np.float32)             # with a 1 for the bias
-        q[:, :-1] = mixed.reshape(-1, s.size)[kept]
+        q[:, :-1] = mixed.reshape(-1, s.size).take(kept, axis=0)
         q[:, -1] = 1
         # classes against noise classes that the batch shares
         noise = np.minimum(np.searchsorted(self.outer_sums, rng.random(s.noise) * self.outer_sums[-1]), len(m.outer) - 1)
-        true, false = m.outer[own], m.outer[noise]
-        good = _pull((q * true).sum(axis=1) - self.outer_noise[own])[:, None]
-        bad = -_pull(self.outer_noise[noise] - q @ false.T)
+        true, false = m.outer.take(own, axis=0), m.outer[noise]
+        good = _pull(_dot(q, true) - self.outer_noise[own])[:, None]
+        bad = _pull(self.outer_noise[noise] - q @ false.T)
+        np.negative(bad, out=bad)
         dq = good * true
         dq += bad @ false
         self._add(2, np.concatenate([own, noise]), np.concatenate([good * q, bad.T @ q]))
         # units against noise units of the same class
-        true = m.inner[unit]
-        good = _pull((q * true).sum(axis=1) - self.inner_noise[unit])[:, None]
+        true = m.inner.take(unit, axis=0)
+        good = _pull(_dot(q, true) - self.inner_noise[unit])[:, None]
         dq += good * true
         ids, rows = [unit], [good * q]
         for _ in range(s.inner):
             other = self.drawn[self.first[own] + (rng.random(len(own), np.float32) * self.room[own]).astype(np.int64)]
-            false = m.inner[other]
-            bad = -_pull(self.inner_noise[other] - (q * false).sum(axis=1))[:, None]
+            false = m.inner.take(other, axis=0)
+            bad = -_pull(self.inner_noise[other] - _dot(q, false))[:, None]
             dq += bad * false
             ids.append(other)
             rows.append(bad * q)
@@ -375,16 +382,15 @@ class Trainer:
         mixed.reshape(-1, s.size)[kept] = dq[:, :-1]
         d_context, d_places = np.zeros_like(vectors), np.empty_like(m.places)
         for i in range(n):
-            before = slice(n - 1 - i, n - 1 - i + size)
-            d_places[i] = np.einsum("spd,spd->d", mixed, vectors[:, before])
-            d_context[:, before] += mixed * m.places[i]
+            d_places[i] = np.einsum("sk,sk->k", mixed, vectors[:, before(i)]).reshape(size, s.size).sum(axis=0)
+            d_context[:, before(i)] += mixed * weights[i]
         self._add(0, strips.ravel(), d_context.reshape(-1, s.size))
         self._add(1, np.arange(n), d_places)
 
     def _add(self, table: int, ids: np.ndarray, rows: np.ndarray) -> None:
         x, squares, met = self.m.tables()[table], self.squares[table], self.met[table]
         ids, n, d = _summed(ids if len(x) > 1 << 16 else ids.astype(np.uint16), rows)
-        total = squares[ids] + np.einsum("bd,bd->b", d, d) / d.shape[1]
+        total = squares[ids] + _dot(d, d) / d.shape[1]
         squares[ids] = total
         d *= (self.s.rate / np.sqrt(total))[:, None]
         x[ids] += d
@@ -403,8 +409,16 @@ def draws(v: Vocabulary, per: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _pull(x: np.ndarray) -> np.ndarray:
-    """1 - the logistic function."""
-    return 1 / (1 + np.exp(np.minimum(x, 30)))
+    """1 - the logistic function, written over ``x``."""
+    np.minimum(x, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows."""
+    return np.einsum("bd,bd->b", a, b)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -499,16 +513,16 @@ def unit_logs(model: Model, v: Vocabulary, units: np.ndarray, sizes: np.ndarray,
     normalised over all classes and all units of the class."""
     n = len(model.places)
     sequence, at = padded(units, sizes, n, v.units)
-    vectors = model.context[sequence]
+    vectors = model.context.take(sequence, axis=0).T.copy()  # dimensions, places
     mixed = np.zeros_like(vectors)
     for i in range(n):
-        mixed[i + 1:] += vectors[:-1 - i] * model.places[i]
-    q = np.empty((len(units), mixed.shape[1] + 1), np.float32)
-    q[:, :-1] = mixed[at]
+        mixed[:, i + 1:] += vectors[:, :-1 - i] * model.places[i][:, None]
+    q = np.empty((len(units), len(mixed) + 1), np.float32)
+    q[:, :-1] = mixed.T.copy().take(at, axis=0)
     q[:, -1] = 1
     own = v.class_of(np.arange(v.units))[units]
-    widest = np.sqrt(np.einsum("bd,bd->b", q, q).max(initial=0))
-    safe = all(widest * np.sqrt(np.einsum("bd,bd->b", x, x).max()) < 80 for x in (model.outer, model.inner))
+    widest = np.sqrt(_dot(q, q).max(initial=0))
+    safe = all(widest * np.sqrt(_dot(x, x).max()) < 80 for x in (model.outer, model.inner))
     out, outer = np.empty(len(units)), np.ascontiguousarray(model.outer.T)
     for i in range(0, len(units), block):
         out[i:i + block] = _log_softmax(q[i:i + block] @ outer, own[i:i + block], safe)
@@ -518,7 +532,7 @@ def unit_logs(model: Model, v: Vocabulary, units: np.ndarray, sizes: np.ndarray,
         inside = np.ascontiguousarray(model.inner[v.starts[k]:v.starts[k + 1]].T)
         for i in range(edges[k], edges[k + 1], block):
             some = order[i:min(i + block, edges[k + 1])]
-            out[some] += _log_softmax(q[some] @ inside, units[some] - v.starts[k], safe)
+            out[some] += _log_softmax(q.take(some, axis=0) @ inside, units[some] - v.starts[k], safe)
     return out / math.log(10)
 
 
